@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from socialcart.plans import campaigns as q1
+from socialcart.plans import recommend as q2
 from socialcart.sources import testviews as tv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,17 @@ def _friends_edges(spark, d):
     return tv.friends(spark, d)
 
 
+def _q2(**kw):
+    def run(spark, d):
+        return q2.recommendations(tv.events(spark, d), tv.friends(spark, d),
+                                  tv.products(spark, d), **kw)
+    return run
+
+
+def _top_active_users(spark, d):
+    return q2.top_active_users(tv.events(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "q1_campaign_conversion": _q1_campaign_conversion,
@@ -44,4 +56,9 @@ def queries() -> dict[str, Query]:
         "campaign_user_stats": _campaign_user_stats,
         "social_purchasers": _social_purchasers,
         "friends_edges": _friends_edges,
+        "top_active_users": _top_active_users,
+        "q2_recommendations": _q2(),
+        "q2_array_topk": _q2(method="array"),
+        "q2_graph": _q2(activity_types=q2.REC_TYPES, own_types=q2.REC_TYPES),
+        "q2_dedupe_edges": _q2(dedupe_edges=True),
     }
