@@ -123,6 +123,52 @@ def q2_sql(**kw) -> str:
     return sql_with("events_v", "friends_v", "products_v") + "," + _q2_ctes(**kw)
 
 
+def _split(col: str, pattern: str = "[^a-z0-9]+") -> str:
+    return f"regexp_split_to_array(lower(COALESCE({col}, '')), '{pattern}')"
+
+
+def _kw_cte(source: str = "distinct", pattern: str = "[^a-z0-9]+") -> str:
+    if source == "distinct":
+        codes = """SELECT p.category_code FROM (SELECT DISTINCT product_id FROM ranked
+                   WHERE rank_in_user <= 5) qp JOIN products_v p ON p.product_id = qp.product_id"""
+    else:
+        codes = """SELECT p.category_code FROM ranked r LEFT JOIN products_v p
+                   ON p.product_id = r.product_id WHERE r.rank_in_user <= 5"""
+    return f""",
+kw AS (
+    SELECT token AS keyword, COUNT(*) AS frequency
+    FROM (SELECT unnest({_split('category_code', pattern)}) AS token FROM ({codes}) c) t
+    WHERE token <> '' AND length(token) > 2
+    GROUP BY token ORDER BY frequency DESC, token LIMIT 3
+)"""
+
+
+def _hits_cte(fields: tuple[str, ...] = ("category_code",)) -> str:
+    arr = _split(fields[0]) if len(fields) == 1 else \
+        "list_concat(" + ", ".join(_split(f) for f in fields) + ")"
+    return f""",
+toks AS (
+    SELECT product_id, category_code, brand, unnest(arr) AS token,
+           len(list_filter(arr, lambda x: x <> '')) AS dl
+    FROM (SELECT *, {arr} AS arr FROM products_v) p
+),
+hits AS (
+    SELECT k.keyword, t.product_id, t.category_code, t.brand, t.dl, COUNT(*) AS tf
+    FROM toks t JOIN kw k ON k.keyword = t.token
+    GROUP BY k.keyword, t.product_id, t.category_code, t.brand, t.dl
+)"""
+
+
+_Q3_OUT = """
+SELECT keyword, product_id, category_code, brand, CAST(tf AS DOUBLE) AS text_score FROM hits"""
+
+
+_TOP20 = """
+    SELECT keyword, product_id, category_code, brand, CAST(tf AS DOUBLE) AS text_score,
+           ROW_NUMBER() OVER (PARTITION BY keyword ORDER BY tf DESC, product_id) AS rn
+    FROM hits"""
+
+
 def oracle() -> dict[str, str]:
     q = {}
     q["q1_campaign_conversion"] = _q1("NULL")
@@ -140,4 +186,56 @@ ORDER BY activity DESC, user_id LIMIT 100""")
     q["q2_graph"] = q2_sql(activity=f"WHERE e.event_type IN {_GRAPH_TYPES}",
                            own=f"AND own.event_type IN {_GRAPH_TYPES}") + _Q2_SELECT
     q["q2_dedupe_edges"] = q2_sql(edges="") + _Q2_SELECT
+    q["q3_keywords"] = q2_sql() + _kw_cte() + "\nSELECT * FROM kw"
+    q["q3_keywords_rows"] = q2_sql() + _kw_cte("rows") + "\nSELECT * FROM kw"
+    q["q3_keywords_dot"] = q2_sql() + _kw_cte(pattern="[.]") + "\nSELECT * FROM kw"
+    q["q3_token_search"] = (q2_sql() + _kw_cte() + _hits_cte() + _Q3_OUT
+                            + "\nORDER BY keyword, text_score DESC, product_id LIMIT 60")
+    q["q3_token_search_top20"] = (
+        q2_sql() + _kw_cte("rows") + _hits_cte(("category_code", "brand")) + f"""
+SELECT keyword, product_id, category_code, brand, text_score FROM ({_TOP20}) WHERE rn <= 20""")
+    q["q3_bm25"] = (q2_sql() + _kw_cte() + _hits_cte() + f""",
+corpus AS (SELECT COUNT(*) AS n_docs, AVG(len(list_filter({_split('category_code')}, lambda x: x <> '')))
+                  AS avgdl FROM products_v),
+dfs AS (SELECT keyword, COUNT(*) AS df FROM hits GROUP BY keyword)
+SELECT h.keyword, h.product_id, h.category_code, h.brand,
+       ROUND(ln(1.0 + (c.n_docs - d.df + 0.5) / (d.df + 0.5)) * h.tf * 2.2
+             / (h.tf + 1.2 * (1 - 0.75 + 0.75 * h.dl / c.avgdl)), 6) AS text_score
+FROM hits h JOIN dfs d ON d.keyword = h.keyword CROSS JOIN corpus c
+ORDER BY keyword, text_score DESC, product_id LIMIT 60""")
+    sub = """,
+sub AS (
+    SELECT k.keyword, p.product_id, p.category_code, p.brand, 0.0 AS text_score,
+           ROW_NUMBER() OVER (PARTITION BY k.keyword ORDER BY p.product_id) AS rn
+    FROM products_v p JOIN kw k
+      ON contains(lower(COALESCE(p.category_code, '')), k.keyword)
+)"""
+    q["q3_substring_search"] = (q2_sql() + _kw_cte("rows") + sub
+                                + "\nSELECT keyword, product_id, category_code, brand, text_score"
+                                + " FROM sub WHERE rn <= 20")
+    q["q3_fallback"] = (q2_sql() + _kw_cte("rows") + _hits_cte() + sub + f""",
+tok AS (
+    SELECT keyword, product_id, category_code, brand, text_score FROM ({_TOP20}) WHERE rn <= 20
+)
+SELECT * FROM tok
+UNION ALL
+SELECT keyword, product_id, category_code, brand, text_score FROM sub
+WHERE rn <= 20 AND NOT EXISTS (SELECT 1 FROM tok)""")
+    q["doc_token_search"] = f"""
+WITH kw AS (
+    SELECT token AS keyword, COUNT(*) AS frequency
+    FROM (SELECT unnest({_split('text')}) AS token FROM benchmark) t
+    WHERE token <> '' AND length(token) > 2
+    GROUP BY token ORDER BY frequency DESC, token LIMIT 3
+),
+hits AS (
+    SELECT k.keyword, d.doc_id, COUNT(*) AS tf
+    FROM (SELECT doc_id, unnest({_split('text')}) AS token FROM documents) d
+    JOIN kw k ON k.keyword = d.token
+    GROUP BY k.keyword, d.doc_id
+)
+SELECT keyword, doc_id, text_score FROM (
+    SELECT keyword, doc_id, CAST(tf AS DOUBLE) AS text_score,
+           ROW_NUMBER() OVER (PARTITION BY keyword ORDER BY tf DESC, doc_id) AS rn
+    FROM hits) WHERE rn <= 20"""
     return q

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from socialcart.plans import campaigns as q1
 from socialcart.plans import recommend as q2
+from socialcart.plans import search as q3
 from socialcart.sources import testviews as tv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,54 @@ def _top_active_users(spark, d):
     return q2.top_active_users(tv.events(spark, d))
 
 
+def _recs(spark, d):
+    return q2.recommendations(tv.events(spark, d), tv.friends(spark, d), tv.products(spark, d))
+
+
+def _q3_keywords(spark, d):
+    return q3.keywords(_recs(spark, d), tv.products(spark, d))
+
+
+def _q3_keywords_rows(spark, d):
+    return q3.keywords(_recs(spark, d), tv.products(spark, d), distinct_products=False)
+
+
+def _q3_keywords_dot(spark, d):
+    return q3.keywords(_recs(spark, d), tv.products(spark, d), splitter=q3.DOT_SPLIT)
+
+
+def _q3_token_search(spark, d):
+    p = tv.products(spark, d)
+    return q3.token_search(q3.keywords(_recs(spark, d), p), p)
+
+
+def _q3_token_search_top20(spark, d):
+    p = tv.products(spark, d)
+    kw = q3.keywords(_recs(spark, d), p, distinct_products=False)
+    return q3.token_search(kw, p, fields=("category_code", "brand"), per_keyword=20, overall=None)
+
+
+def _q3_bm25(spark, d):
+    p = tv.products(spark, d)
+    return q3.token_search(q3.keywords(_recs(spark, d), p), p, score="bm25")
+
+
+def _q3_substring_search(spark, d):
+    p = tv.products(spark, d)
+    return q3.substring_search(q3.keywords(_recs(spark, d), p, distinct_products=False), p)
+
+
+def _q3_fallback(spark, d):
+    p = tv.products(spark, d)
+    return q3.fallback_search(q3.keywords(_recs(spark, d), p, distinct_products=False), p)
+
+
+def _doc_token_search(spark, d):
+    bench = spark.read.parquet(f"{d}/benchmark.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return q3.document_search(q3.top_tokens(bench, "text"), docs)
+
+
 def queries() -> dict[str, Query]:
     return {
         "q1_campaign_conversion": _q1_campaign_conversion,
@@ -61,4 +110,13 @@ def queries() -> dict[str, Query]:
         "q2_array_topk": _q2(method="array"),
         "q2_graph": _q2(activity_types=q2.REC_TYPES, own_types=q2.REC_TYPES),
         "q2_dedupe_edges": _q2(dedupe_edges=True),
+        "q3_keywords": _q3_keywords,
+        "q3_keywords_rows": _q3_keywords_rows,
+        "q3_keywords_dot": _q3_keywords_dot,
+        "q3_token_search": _q3_token_search,
+        "q3_token_search_top20": _q3_token_search_top20,
+        "q3_bm25": _q3_bm25,
+        "q3_substring_search": _q3_substring_search,
+        "q3_fallback": _q3_fallback,
+        "doc_token_search": _doc_token_search,
     }
