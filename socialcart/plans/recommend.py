@@ -18,7 +18,7 @@ Plan shape:
   **pre-aggregated per (user, product)** before any shuffle, so the event
   fact is never shuffled row by row.
 * the per-(user, product) aggregate feeds both the candidate scores and the
-  own-product exclusion (one event pass; the exchange is reused).
+  own-product exclusion through one join and one aggregate (one event pass).
 * per-target top-k is ``row_number() <= k`` → ``WindowGroupLimit`` runs
   before the shuffle, so at most k rows per target and map task move.
 * product attributes: products are semi-joined to the (≤ targets × k)
@@ -108,18 +108,32 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
     """Q2 end to end.  ``method='window'`` ranks with ``row_number``;
     ``method='array'`` builds the ranked list per target as an array
     (collect / sort / slice / posexplode, as the document form does) — over
-    the already limited rows, so no group collects more than ``k`` rows."""
-    targets = top_active_users(events, n_targets, activity_types)
+    the already limited rows, so no group collects more than ``k`` rows.
+
+    One "roles" table maps each user of interest to the targets it matters
+    for: (target, friend, self=false) and (target, target, self=true).  The
+    event fact is scanned once, semi-joined to those users and folded per
+    (user, product); one join with the roles and one aggregate per
+    (target, product) then give the friend scores and the own-product flag
+    together, so the NOT EXISTS needs no second pass over the events.
+    """
+    targets = top_active_users(events, n_targets, activity_types).select("user_id")
+    targets = targets.persist()  # ≤ n_targets rows, shared by every branch below
     tf = target_friends(friends, targets, dedupe_edges)
-    interest = bounded_broadcast(
-        tf.select(F.col("friend_id").alias("user_id")).unionByName(targets.select("user_id"))
-        .distinct())
+    roles = tf.select("target_user_id", F.col("friend_id").alias("user_id"),
+                      F.lit(False).alias("is_self")).unionByName(
+        targets.select(F.col("user_id").alias("target_user_id"), "user_id",
+                       F.lit(True).alias("is_self")))
+    roles = bounded_broadcast(roles)
+    interest = roles.select("user_id").distinct()
     act = user_product_activity(events, interest, own_types)
-    cand = candidate_scores(tf, act)
-    own = (act.join(F.broadcast(targets.select("user_id")), "user_id", "left_semi")
-           .where("touched")
-           .select(F.col("user_id").alias("target_user_id"), "product_id"))
-    fresh = cand.join(own, ["target_user_id", "product_id"], "left_anti")
+    friend = ~F.col("is_self")
+    scored = (act.join(roles, "user_id")
+              .groupBy("target_user_id", "product_id")
+              .agg(F.sum(F.when(friend, F.col("score"))).cast("bigint").alias("weighted_score"),
+                   F.sum(F.when(friend, F.col("n"))).cast("bigint").alias("interactions"),
+                   F.bool_or(F.col("is_self") & F.col("touched")).alias("own")))
+    fresh = scored.where(~F.col("own") & (F.col("interactions") > 0)).drop("own")
     w = Window.partitionBy("target_user_id").orderBy(
         F.col("weighted_score").desc(), F.col("interactions").desc(), F.col("product_id").asc())
     ranked = fresh.withColumn("rank_in_user", F.row_number().over(w)).where(F.col("rank_in_user") <= k)
