@@ -170,7 +170,9 @@ _TOP20 = """
 
 
 def oracle() -> dict[str, str]:
-    q = {}
+    from socialcart.oracle_model import oracle as model_oracle
+
+    q = model_oracle()
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
     q["campaign_user_stats"] = (sql_with("messages_v", "campaigns_v", "friends_v") + ","

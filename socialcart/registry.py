@@ -99,6 +99,12 @@ def _doc_token_search(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from socialcart.registry_model import QUERIES as model_queries
+
+    return {**_analysis_queries(), **model_queries}
+
+
+def _analysis_queries() -> dict[str, Query]:
     return {
         "q1_campaign_conversion": _q1_campaign_conversion,
         "q1_zero_share": _q1_zero_share,

@@ -117,6 +117,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("o_orderstatus") == "O", F.lit(False))
          .alias("is_purchased"),
         F.col("o_orderdate").alias("sent_at"),
+        (F.col("o_orderkey") % 5).alias("user_device_id"),
     )
 
 
@@ -149,6 +150,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("first_purchase_date"),
         (F.col("o_orderkey") % 3).alias("user_device_id"),
+        F.col("o_orderkey").alias("row_ord"),
     )
 
 
@@ -200,7 +202,8 @@ SQL_VIEWS: dict[str, str] = {
                o_custkey AS user_id,
                CASE WHEN o_orderstatus = 'F' THEN TRUE
                     WHEN o_orderstatus = 'O' THEN FALSE END AS is_purchased,
-               o_orderdate AS sent_at
+               o_orderdate AS sent_at,
+               o_orderkey % 5 AS user_device_id
         FROM orders""",
     "campaigns_v": f"""
         SELECT CAST(y AS VARCHAR) AS campaign_id, o_orderpriority AS campaign_type,
@@ -211,7 +214,8 @@ SQL_VIEWS: dict[str, str] = {
     "clients_v": """
         SELECT CAST(trunc(o_custkey / 2) AS BIGINT) AS client_id, o_custkey AS user_id,
                CAST(o_orderdate AS DATE) AS first_purchase_date,
-               o_orderkey % 3 AS user_device_id
+               o_orderkey % 3 AS user_device_id,
+               o_orderkey AS row_ord
         FROM orders WHERE o_orderstatus = 'F'""",
 }
 
@@ -234,3 +238,153 @@ def sql_with(*views: str) -> str:
     for v in views:
         add(v)
     return "WITH " + ",\n".join(f"{v} AS ({SQL_VIEWS[v]})" for v in ordered) + "\n"
+
+
+# ---------------------------------------------------------------------------
+# Raw text extracts derived from the test tables, for the cleaning / typing /
+# modelling operators.  Each dirty variant is chosen by key arithmetic, so
+# every row of the source table is used.
+# ---------------------------------------------------------------------------
+
+# The dirty spellings injected into the raw extracts.
+BOOL_SPELLINGS = ("Yes", "n/a", "0", "TRUE", "f", "other")
+MISSING_SPELLINGS = ("NA", " n/a ", "Null", "none", "NaN", "")
+
+
+def _pick(key, values):
+    expr = None
+    for i, v in enumerate(values):
+        cond = (key % len(values)) == i
+        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+    return expr
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message extract as all-text columns, with dirty spellings."""
+    o = _read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    unpadded = F.concat_ws("-", F.year("o_orderdate").cast("string"),
+                           F.month("o_orderdate").cast("string"),
+                           F.dayofmonth("o_orderdate").cast("string"))
+    sent = (F.when(k % 6 == 0, F.concat(ts, F.lit(".123456")))
+            .when(k % 6 == 1, F.concat(ts, F.lit(" UTC")))
+            .when(k % 6 == 2, day).when(k % 6 == 3, unpadded)
+            .when(k % 6 == 4, F.lit("soon")).otherwise(F.lit("NULL")))
+    ident = k.cast("string")
+    rid = (F.when(k % 5 == 0, F.concat(ident, F.lit(".0")))
+           .when(k % 5 == 1, F.concat(F.lit(" "), ident, F.lit(" ")))
+           .when(k % 5 == 2, F.concat(F.lit("+"), ident))
+           .when(k % 5 == 3, F.concat(F.lit("x"), ident))
+           .otherwise(F.concat(ident, F.lit(".5"))))
+    price = (F.when(k % 5 == 0, F.format_string("%.4f", F.col("o_totalprice")))
+             .when(k % 5 == 1, F.lit("0.000")).when(k % 5 == 2, F.lit("1e2"))
+             .when(k % 5 == 3, F.lit("x"))
+             .otherwise(F.concat(F.lit(" "), F.format_string("%.2f", F.col("o_totalprice")),
+                                 F.lit("0 "))))
+    blank_all = (k % 13) == 0
+    def dirty(c):  # a row with every column missing, every 13th order
+        return F.when(blank_all, F.lit("NA")).otherwise(c)
+    return o.select(
+        dirty(rid).alias("id"),
+        dirty(F.concat(F.lit("\t"), F.col("o_orderpriority"), F.lit("  "))).alias("message_type"),
+        dirty(_pick(k, BOOL_SPELLINGS)).alias("is_purchased"),
+        dirty(sent).alias("sent_at"),
+        dirty(price).alias("price"),
+        dirty(F.when(k % 7 == 0, _pick(k, MISSING_SPELLINGS))
+              .otherwise(F.col("o_orderstatus"))).alias("status"),
+    )
+
+
+def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign rows with repeats per (id, type): every order proposes a
+    version of its campaign; finish time NULL for every 11th."""
+    o = _read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    start = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    finish = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(
+        F.date_format(F.date_add(F.to_date("o_orderdate"), (k % 30).cast("int")),
+                      "yyyy-MM-dd HH:mm:ss"))
+    return o.select(
+        F.year("o_orderdate").cast("string").alias("id"),
+        F.col("o_orderpriority").alias("campaign_type"),
+        F.col("o_orderstatus").alias("channel"),
+        start.alias("started_at"), finish.alias("finished_at"),
+        (k % 1000).cast("string").alias("total_count"),
+        _pick(k, BOOL_SPELLINGS).alias("ab_test"),
+        F.format_string("%.5f", F.col("o_totalprice") / 1000).alias("hour_limit"),
+        (k % 97).cast("string").alias("position"),
+    )
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows carrying product attributes that disagree between rows
+    (category id varies, brand missing every 5th event)."""
+    e = events(spark, sf_dir)
+    p = products(spark, sf_dir).select(
+        "product_id", F.col("category_id").alias("base_cat"), "category_code",
+        F.col("brand").alias("base_brand"))
+    k = F.col("event_id")
+    return e.join(p, "product_id", "left").select(
+        "event_id", "event_time", "event_type", "user_id", "product_id", "price",
+        (F.col("base_cat") + k % 3).alias("category_id"), "category_code",
+        F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("base_brand")).alias("brand"),
+        (F.col("user_id") * 1000 + F.dayofyear("event_time")).cast("string").alias("user_session"),
+    )
+
+
+_BOOL_SQL = "CASE o_orderkey % 6 " + " ".join(
+    f"WHEN {i} THEN '{v}'" for i, v in enumerate(BOOL_SPELLINGS)) + " END"
+_MISSING_SQL = "CASE o_orderkey % 6 " + " ".join(
+    f"WHEN {i} THEN '{v}'" for i, v in enumerate(MISSING_SPELLINGS)) + " END"
+
+SQL_VIEWS.update({
+    "raw_messages_v": f"""
+        SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.id END AS id,
+               CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.message_type END AS message_type,
+               CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.is_purchased END AS is_purchased,
+               CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.sent_at END AS sent_at,
+               CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.price END AS price,
+               CASE WHEN o_orderkey % 13 = 0 THEN 'NA' ELSE c.status END AS status
+        FROM (SELECT o_orderkey,
+              CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) || '.0'
+                   WHEN 1 THEN ' ' || CAST(o_orderkey AS VARCHAR) || ' '
+                   WHEN 2 THEN '+' || CAST(o_orderkey AS VARCHAR)
+                   WHEN 3 THEN 'x' || CAST(o_orderkey AS VARCHAR)
+                   ELSE CAST(o_orderkey AS VARCHAR) || '.5' END AS id,
+              chr(9) || o_orderpriority || '  ' AS message_type,
+              {_BOOL_SQL} AS is_purchased,
+              CASE o_orderkey % 6
+                   WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.123456'
+                   WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' UTC'
+                   WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d')
+                   WHEN 3 THEN CAST(year(o_orderdate) AS VARCHAR) || '-'
+                               || CAST(month(o_orderdate) AS VARCHAR) || '-'
+                               || CAST(day(o_orderdate) AS VARCHAR)
+                   WHEN 4 THEN 'soon' ELSE 'NULL' END AS sent_at,
+              CASE o_orderkey % 5 WHEN 0 THEN printf('%.4f', o_totalprice)
+                   WHEN 1 THEN '0.000' WHEN 2 THEN '1e2' WHEN 3 THEN 'x'
+                   ELSE ' ' || printf('%.2f', o_totalprice) || '0 ' END AS price,
+              CASE WHEN o_orderkey % 7 = 0 THEN {_MISSING_SQL} ELSE o_orderstatus END AS status
+              FROM orders) c""",
+    "raw_campaigns_v": f"""
+        SELECT CAST(year(o_orderdate) AS VARCHAR) AS id, o_orderpriority AS campaign_type,
+               o_orderstatus AS channel,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS started_at,
+               CASE WHEN o_orderkey % 11 = 0 THEN NULL
+                    ELSE strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER),
+                                  '%Y-%m-%d %H:%M:%S') END AS finished_at,
+               CAST(o_orderkey % 1000 AS VARCHAR) AS total_count,
+               {_BOOL_SQL} AS ab_test,
+               printf('%.5f', o_totalprice / 1000) AS hour_limit,
+               CAST(o_orderkey % 97 AS VARCHAR) AS position
+        FROM orders""",
+    "raw_events_v": """
+        SELECT e.event_id, e.event_time, e.event_type, e.user_id, e.product_id, e.price,
+               p.category_id + e.event_id % 3 AS category_id, p.category_code,
+               CASE WHEN e.event_id % 5 = 0 THEN NULL ELSE p.brand END AS brand,
+               CAST(e.user_id * 1000 + dayofyear(e.event_time) AS VARCHAR) AS user_session
+        FROM events_v e LEFT JOIN products_v p ON p.product_id = e.product_id""",
+})
+_VIEW_DEPS["raw_events_v"] = ["events_v", "products_v"]
