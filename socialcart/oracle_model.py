@@ -328,4 +328,11 @@ UNION ALL SELECT 'friends', COUNT(*) FROM friends_v"""
 SELECT 'events' AS database, event_type AS query_name, COUNT(*) AS runs, avg(price) AS avg_ms,
        stddev_samp(price) AS stddev_ms, min(price) AS min_ms, max(price) AS max_ms
 FROM events_v GROUP BY event_type"""
+    q["incremental_upsert"] = sql_with("messages_v") + """
+SELECT message_id, ord, campaign_id, message_type, user_id, is_purchased FROM (
+    SELECT CAST(trunc(row_id / 2) AS BIGINT) AS message_id, row_id AS ord, campaign_id,
+           message_type, user_id, is_purchased,
+           ROW_NUMBER() OVER (PARTITION BY CAST(trunc(row_id / 2) AS BIGINT) ORDER BY row_id DESC)
+               AS rn
+    FROM messages_v) WHERE rn = 1"""
     return q

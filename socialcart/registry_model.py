@@ -217,6 +217,15 @@ def timing_stats(spark, d):
     return B.timing_stats(rows)
 
 
+def incremental_upsert(spark, d):
+    from socialcart.streaming.incremental import incremental_upsert as upsert
+
+    rows = tv.messages(spark, d).select(
+        (F.col("row_id") / 2).cast("bigint").alias("message_id"),
+        F.col("row_id").alias("ord"), "campaign_id", "message_type", "user_id", "is_purchased")
+    return upsert(spark, rows, ["message_id"], "ord")
+
+
 QUERIES = {
     "clean_missing": _clean_one("status"),
     "clean_boolean": _clean_one("is_purchased"),
@@ -253,4 +262,5 @@ QUERIES = {
     "dq_schema": dq_schema,
     "load_counts": load_counts,
     "timing_stats": timing_stats,
+    "incremental_upsert": incremental_upsert,
 }
