@@ -45,6 +45,7 @@ def main() -> None:
         rows[short] = len(fn(spark, sf_dir).collect())  # warm-up
         times = []
         for _ in range(runs):
+            spark.catalog.clearCache()  # nothing persisted by one run serves the next
             t0 = time.perf_counter()
             fn(spark, sf_dir).collect()
             times.append(time.perf_counter() - t0)

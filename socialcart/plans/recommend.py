@@ -140,7 +140,9 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
     if method == "array":
         ranked = _array_rank(ranked, k)
     out = attach_products(ranked, products)
-    return out.select(*RESULT_COLUMNS).orderBy("target_user_id", "rank_in_user")
+    # ≤ n_targets × k rows: one sorted partition, no range-partitioning pass
+    return (out.select(*RESULT_COLUMNS).coalesce(1)
+            .sortWithinPartitions("target_user_id", "rank_in_user"))
 
 
 def _array_rank(rows: DataFrame, k: int) -> DataFrame:

@@ -65,19 +65,22 @@ def token_hits(kw: DataFrame, docs: DataFrame, id_col: str, text_cols: list[str]
     a keyword as a token of any of ``text_cols`` (tokens of all columns
     pooled); ``dl`` is the document's token count.
 
-    One pass over the documents: the token array is built once per document
-    (in a projection *below* the explode, so nothing per document is
-    re-evaluated per token), tokens are kept when they equal a broadcast
-    keyword (≤ n rows), and counted with map-side partial aggregation."""
-    base = docs.select(id_col, *carry, _all_tokens(text_cols).alias("_toks"))
+    One pass over the documents.  The keywords (≤ n rows, a proven bound)
+    become one array value through a scalar subquery; each document's token
+    array is built once (in a projection *below* the explode, so nothing per
+    document is re-evaluated per token) and filtered to keyword tokens
+    before the explode, so only matching tokens become rows.  Counts use
+    map-side partial aggregation."""
+    kw_arr = kw.select(F.collect_set("keyword")).scalar()
+    base = docs.select(id_col, *carry, _all_tokens(text_cols).alias("_toks"),
+                       kw_arr.alias("_kw"))
     keep = [id_col, *carry]
     if with_len:
         base = base.withColumn("dl", F.size(F.filter("_toks", lambda t: t != "")))
         keep.append("dl")
-    exploded = base.select(*keep, F.explode("_toks").alias("keyword"))
-    kws = F.broadcast(kw.select("keyword"))
-    return (exploded.join(kws, "keyword")
-            .groupBy("keyword", *keep).agg(F.count(F.lit(1)).alias("tf")))
+    matched = F.filter("_toks", lambda t: F.array_contains(F.col("_kw"), t))
+    exploded = base.select(*keep, F.explode(matched).alias("keyword"))
+    return exploded.groupBy("keyword", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def bm25_scores(hits: DataFrame, docs: DataFrame, text_cols: list[str]) -> DataFrame:
@@ -102,8 +105,12 @@ def _cap(rows: DataFrame, per_keyword: int | None, overall: int | None,
     if per_keyword:
         w = Window.partitionBy("keyword").orderBy(*order)
         rows = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_keyword).drop("_r")
-    rows = rows.orderBy(F.col("keyword").asc(), *order)
-    return rows.limit(overall) if overall else rows
+    if overall:
+        return rows.orderBy(F.col("keyword").asc(), *order).limit(overall)  # TakeOrderedAndProject
+    if per_keyword:
+        # ≤ per_keyword × keywords rows: one sorted partition, no range-partitioning pass
+        return rows.coalesce(1).sortWithinPartitions(F.col("keyword").asc(), *order)
+    return rows.orderBy(F.col("keyword").asc(), *order)
 
 
 def token_search(kw: DataFrame, products: DataFrame, fields: tuple[str, ...] = ("category_code",),
@@ -138,7 +145,8 @@ def fallback_search(kw: DataFrame, products: DataFrame, per_keyword: int = 20,
     any_tok = tok.select(F.lit(1).alias("_one")).limit(1)
     sub = (substring_search(kw, products, per_keyword).withColumn("_one", F.lit(1))
            .join(F.broadcast(any_tok), "_one", "left_anti").drop("_one"))
-    return tok.unionByName(sub).orderBy(
+    # both sides are capped per keyword: a small, bounded result
+    return tok.unionByName(sub).coalesce(1).sortWithinPartitions(
         F.col("keyword").asc(), F.col("text_score").desc(), F.col("product_id").asc())
 
 

@@ -22,9 +22,25 @@ Views (all ids stay integers):
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
+def _view(fn):
+    """Build a view's plan once per (session, folder) and reuse it, like a
+    catalog of views: DataFrames are immutable plans, so sharing them is
+    safe, and it saves re-listing files and re-analysing the plan on every
+    query."""
+    cached = functools.lru_cache(maxsize=256)(fn)
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return cached(spark, sf_dir.rstrip("/"))
+    wrapper.uncached = fn
+    return wrapper
+
 # Fixed values of the adapter (must be identical in SQL_VIEWS below).
 FRIEND_OFFSETS = (1, 2, 3, 5, 8, 13, 21)
 REVERSE_EVERY = 5          # (a + b) % 5 == 0 → pair also stored as (b, a)
@@ -43,6 +59,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_view
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events")
     return e.select(
@@ -56,6 +73,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part")
     code = F.concat(F.lower("p_type"), F.lit("."), F.regexp_replace("p_name", " ", "."))
@@ -68,6 +86,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def friends_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw friendship rows ``(friend1, friend2)``.
 
@@ -97,6 +116,7 @@ def friends_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(loops)
 
 
+@_view
 def friends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned friendship edges ``(user_id, friend_id)``."""
     from socialcart.operators.model import friend_edges
@@ -104,6 +124,7 @@ def friends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return friend_edges(friends_raw(spark, sf_dir), "friend1", "friend2")
 
 
+@_view
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     return o.select(
@@ -129,6 +150,7 @@ def _channel(priority):
     return expr
 
 
+@_view
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     keys = o.select(
@@ -143,6 +165,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     return o.where(F.col("o_orderstatus") == "F").select(
@@ -259,6 +282,7 @@ def _pick(key, values):
     return expr
 
 
+@_view
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message extract as all-text columns, with dirty spellings."""
     o = _read(spark, sf_dir, "orders")
@@ -297,6 +321,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign rows with repeats per (id, type): every order proposes a
     version of its campaign; finish time NULL for every 11th."""
@@ -318,6 +343,7 @@ def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows carrying product attributes that disagree between rows
     (category id varies, brand missing every 5th event)."""
