@@ -72,6 +72,16 @@ def in_category_edges(events: DataFrame, products: DataFrame, categories: DataFr
             .select("product_id", "category_id"))
 
 
+def product_attributes(product_nodes: DataFrame, in_category: DataFrame,
+                       categories: DataFrame) -> DataFrame:
+    """Q2-g graph form: ``(product_id, category_code, brand)`` with the
+    product's brand and the smallest code among its categories (the source
+    takes the head of an unordered list; the minimum makes it deterministic)."""
+    codes = (in_category.join(categories, "category_id")
+             .groupBy("product_id").agg(F.min("category_code").alias("category_code")))
+    return product_nodes.select("product_id", "brand").join(codes, "product_id", "left")
+
+
 def event_edges(events: DataFrame) -> DataFrame:
     """User → product edges for view/cart/purchase (type lower-cased),
     one per event (not de-duplicated), with session, time and price."""

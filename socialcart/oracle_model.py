@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from socialcart.sources.testviews import sql_with
+from socialcart.sources.testviews import SQL_VIEWS, sql_with
 
 _NUM = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
@@ -335,4 +335,34 @@ SELECT message_id, ord, campaign_id, message_type, user_id, is_purchased FROM (
            ROW_NUMBER() OVER (PARTITION BY CAST(trunc(row_id / 2) AS BIGINT) ORDER BY row_id DESC)
                AS rn
     FROM messages_v) WHERE rn = 1"""
+    from socialcart.oracle_sql import _GRAPH_TYPES, _kw_cte, q2_sql
+    q["q3_graph_search"] = (
+        q2_sql(activity=f"WHERE e.event_type IN {_GRAPH_TYPES}",
+               own=f"AND own.event_type IN {_GRAPH_TYPES}")
+        + _kw_cte("rows") + f""",
+raw_events_v AS ({SQL_VIEWS['raw_events_v']}),
+cats AS ({_first_by('category_code', 'event_id', 'category_id', 'raw_events_v')}),
+pn AS ({_first_by('brand', 'event_id', 'product_id', 'raw_events_v')}),
+ic AS (SELECT DISTINCT product_id, category_id FROM raw_events_v
+       WHERE product_id IS NOT NULL AND category_id IS NOT NULL),
+ch AS (
+    SELECT k.keyword, c.category_id, c.category_code, COUNT(*) AS tf
+    FROM (SELECT category_id, category_code,
+                 unnest(regexp_split_to_array(lower(COALESCE(category_code, '')), '[^a-z0-9]+')) AS tok
+          FROM cats) c
+    JOIN kw k ON k.keyword = c.tok
+    GROUP BY k.keyword, c.category_id, c.category_code
+),
+capped AS (
+    SELECT * FROM (
+        SELECT ch.keyword, ic.product_id, ch.category_code, pn.brand,
+               CAST(ch.tf AS DOUBLE) AS text_score,
+               ROW_NUMBER() OVER (PARTITION BY ch.keyword
+                                  ORDER BY ch.tf DESC, ic.product_id, ch.category_code) AS r
+        FROM ch JOIN ic ON ic.category_id = ch.category_id
+        JOIN pn ON pn.product_id = ic.product_id) WHERE r <= 20
+)
+SELECT keyword, product_id, category_code, brand, text_score FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY keyword, product_id ORDER BY r) AS f FROM capped)
+WHERE f = 1""")
     return q

@@ -8,7 +8,7 @@ would otherwise leave the result open.
 
 from __future__ import annotations
 
-from socialcart.sources.testviews import sql_with
+from socialcart.sources.testviews import SQL_VIEWS, sql_with
 
 # Exact half-up rounding of 100 * a / b to two decimals, as double: integer
 # arithmetic, so it agrees digit for digit with Spark's decimal ``round``.
@@ -118,6 +118,33 @@ ORDER BY r.target_user_id, r.rank_in_user"""
 
 _GRAPH_TYPES = "('view', 'cart', 'purchase')"
 
+# Q2-g graph form: brand = first non-blank per product (by event id); code =
+# smallest code among the product's category nodes (first non-blank per category).
+_GRAPH_ATTRS = f""",
+raw_events_v AS ({SQL_VIEWS['raw_events_v']}),
+g_brand AS (
+    SELECT k.product_id, f.brand FROM (SELECT DISTINCT product_id FROM raw_events_v
+                                       WHERE product_id IS NOT NULL) k
+    LEFT JOIN (SELECT product_id, brand, ROW_NUMBER() OVER (PARTITION BY product_id
+                      ORDER BY event_id) AS rn
+               FROM raw_events_v WHERE brand IS NOT NULL) f
+      ON f.product_id = k.product_id AND f.rn = 1
+),
+g_cat AS (
+    SELECT category_id, category_code FROM (
+        SELECT category_id, category_code, ROW_NUMBER() OVER (PARTITION BY category_id
+               ORDER BY event_id) AS rn
+        FROM raw_events_v WHERE category_code IS NOT NULL AND category_id IS NOT NULL) WHERE rn = 1
+),
+graph_products AS (
+    SELECT b.product_id, b.brand, c.category_code FROM g_brand b LEFT JOIN (
+        SELECT ic.product_id, min(gc.category_code) AS category_code
+        FROM (SELECT DISTINCT product_id, category_id FROM raw_events_v
+              WHERE product_id IS NOT NULL AND category_id IS NOT NULL) ic
+        JOIN g_cat gc ON gc.category_id = ic.category_id GROUP BY ic.product_id) c
+      ON c.product_id = b.product_id
+)"""
+
 
 def q2_sql(**kw) -> str:
     return sql_with("events_v", "friends_v", "products_v") + "," + _q2_ctes(**kw)
@@ -185,8 +212,9 @@ SELECT user_id, COUNT(*) AS activity FROM events_v GROUP BY user_id
 ORDER BY activity DESC, user_id LIMIT 100""")
     q["q2_recommendations"] = q2_sql() + _Q2_SELECT
     q["q2_array_topk"] = q2_sql() + _Q2_SELECT
-    q["q2_graph"] = q2_sql(activity=f"WHERE e.event_type IN {_GRAPH_TYPES}",
-                           own=f"AND own.event_type IN {_GRAPH_TYPES}") + _Q2_SELECT
+    q["q2_graph"] = (q2_sql(activity=f"WHERE e.event_type IN {_GRAPH_TYPES}",
+                            own=f"AND own.event_type IN {_GRAPH_TYPES}") + _GRAPH_ATTRS
+                     + _Q2_SELECT.replace("products_v p", "graph_products p"))
     q["q2_dedupe_edges"] = q2_sql(edges="") + _Q2_SELECT
     q["q3_keywords"] = q2_sql() + _kw_cte() + "\nSELECT * FROM kw"
     q["q3_keywords_rows"] = q2_sql() + _kw_cte("rows") + "\nSELECT * FROM kw"

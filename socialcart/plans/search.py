@@ -150,6 +150,27 @@ def fallback_search(kw: DataFrame, products: DataFrame, per_keyword: int = 20,
         F.col("keyword").asc(), F.col("text_score").desc(), F.col("product_id").asc())
 
 
+def graph_token_search(kw: DataFrame, categories: DataFrame, in_category: DataFrame,
+                       product_nodes: DataFrame, per_keyword: int = 20) -> DataFrame:
+    """Q3 graph form: keyword hits on *category* nodes, reached products over
+    IN_CATEGORY edges, best ``per_keyword`` rows per keyword by (score desc,
+    product), then one row per (keyword, product) — the first after the cap
+    (Q3-i then Q3-j, in that order)."""
+    hits = token_hits(kw, categories, "category_id", ["category_code"], ("category_code",))
+    rows = (hits.join(in_category, "category_id")
+            .join(product_nodes.select("product_id", "brand"), "product_id")
+            .select("keyword", "product_id", "category_code", "brand",
+                    F.col("tf").cast("double").alias("text_score")))
+    order = [F.col("text_score").desc(), F.col("product_id").asc(), F.col("category_code").asc()]
+    w = Window.partitionBy("keyword").orderBy(*order)
+    capped = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_keyword)
+    first = Window.partitionBy("keyword", "product_id").orderBy("_r")
+    deduped = (capped.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
+               .drop("_r", "_f"))
+    # ≤ per_keyword × keywords rows
+    return deduped.coalesce(1).sortWithinPartitions(F.col("keyword").asc(), *order)
+
+
 def document_search(kw: DataFrame, docs: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", per_keyword: int | None = 20) -> DataFrame:
     """Token search over whole document texts: ``(keyword, <id_col>,

@@ -46,6 +46,16 @@ def _q2(**kw):
     return run
 
 
+def _q2_graph(spark, d):
+    from socialcart.operators import graph as G
+
+    e = tv.raw_events(spark, d)
+    cats, pn = G.category_nodes(e, "event_id"), G.product_nodes(e, "event_id")
+    attrs = G.product_attributes(pn, G.in_category_edges(e, pn, cats), cats)
+    return q2.recommendations(tv.events(spark, d), tv.friends(spark, d), attrs,
+                              activity_types=q2.REC_TYPES, own_types=q2.REC_TYPES)
+
+
 def _top_active_users(spark, d):
     return q2.top_active_users(tv.events(spark, d))
 
@@ -114,7 +124,7 @@ def _analysis_queries() -> dict[str, Query]:
         "top_active_users": _top_active_users,
         "q2_recommendations": _q2(),
         "q2_array_topk": _q2(method="array"),
-        "q2_graph": _q2(activity_types=q2.REC_TYPES, own_types=q2.REC_TYPES),
+        "q2_graph": _q2_graph,
         "q2_dedupe_edges": _q2(dedupe_edges=True),
         "q3_keywords": _q3_keywords,
         "q3_keywords_rows": _q3_keywords_rows,

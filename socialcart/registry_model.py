@@ -166,6 +166,20 @@ def q1_graph(spark, d):
 
 # --- data-quality checks (V01–V04), load report, timing statistics ----------
 
+def q3_graph_search(spark, d):
+    from socialcart.plans import recommend as q2
+    from socialcart.plans import search as q3
+
+    e = tv.raw_events(spark, d)
+    cats = G.category_nodes(e, "event_id")
+    pn = G.product_nodes(e, "event_id")
+    ic = G.in_category_edges(e, pn, cats)
+    recs = q2.recommendations(tv.events(spark, d), tv.friends(spark, d), tv.products(spark, d),
+                              activity_types=q2.REC_TYPES, own_types=q2.REC_TYPES)
+    kw = q3.keywords(recs, tv.products(spark, d), distinct_products=False)
+    return q3.graph_token_search(kw, cats, ic, pn)
+
+
 def dq_unique(spark, d):
     return V.duplicate_keys(tv.clients(spark, d), ["client_id"])
 
@@ -263,4 +277,5 @@ QUERIES = {
     "load_counts": load_counts,
     "timing_stats": timing_stats,
     "incremental_upsert": incremental_upsert,
+    "q3_graph_search": q3_graph_search,
 }
