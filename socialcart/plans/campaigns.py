@@ -10,9 +10,11 @@ Plan shape (see README, "Q1 plan"):
    with map-side combine; the only pass over the message fact.
 2. per-campaign counts from (1) — partial aggregation, so a campaign that
    holds a third of all messages is combined before the shuffle.
-3. social purchasers: purchasers ⋈ undirected edges on user, then a semi
-   join back to purchasers on (campaign, type, friend), distinct.  The edge
-   join is the only data-sized join; AQE splits hot users.
+3. social purchasers: edges are first cut to buyer↔buyer pairs (two semi
+   joins against the distinct buyers), then purchasers ⋈ those undirected
+   edges on user, a semi join back to purchasers on (campaign, type,
+   friend), distinct.  The edge join is the only data-sized join; AQE
+   splits hot users.
 4. The campaign dimension joins only the per-campaign aggregates (one row
    per campaign), never the message fact.
 """
@@ -65,11 +67,25 @@ def campaign_user_stats(messages: DataFrame, campaigns: DataFrame) -> DataFrame:
         *CAMPAIGN_KEY, "channel", "topic", "user_id", "did_purchase")
 
 
+def buyer_edges(friends: DataFrame, buyer_users: DataFrame) -> DataFrame:
+    """Friend edges whose two ends both purchased in some campaign.
+
+    Only such edges can make a purchaser "social", so filtering them before
+    the (campaign × friend) fan-out keeps the largest intermediate of Q1
+    proportional to buyer-buyer edges instead of all edges of buyers.  Two
+    semi joins against the distinct buyer set (AQE broadcasts it when small).
+    """
+    u = buyer_users.select("user_id")
+    return (friends.join(u, "user_id", "left_semi")
+            .join(u.select(F.col("user_id").alias("friend_id")), "friend_id", "left_semi"))
+
+
 def social_purchasers(cu: DataFrame, friends: DataFrame) -> DataFrame:
     """Q1-d/e: purchasers with at least one friend who purchased in the same
     campaign → distinct ``(campaign_id, message_type, user_id)``."""
     buyers = cu.where("did_purchase").select(*CAMPAIGN_KEY, "user_id")
-    edges = undirected(friends, "user_id", "friend_id")
+    edges = undirected(buyer_edges(friends, buyers.select("user_id").distinct()),
+                       "user_id", "friend_id")
     reach = buyers.join(edges, "user_id")  # (campaign, type, user, friend)
     friend_buyers = buyers.select(*CAMPAIGN_KEY, F.col("user_id").alias("friend_id"))
     return (reach.join(friend_buyers, CAMPAIGN_KEY + ["friend_id"], "left_semi")
@@ -120,7 +136,8 @@ def campaign_conversion_graph(campaign_nodes: DataFrame, received: DataFrame,
     """
     rec = received.groupBy("campaign_key").agg(F.count(F.lit(1)).alias("recipients"))
     pur = purchased.groupBy("campaign_key").agg(F.count(F.lit(1)).alias("purchasers"))
-    edges = undirected(friend_of, "user_id", "friend_id")
+    edges = undirected(buyer_edges(friend_of, purchased.select("user_id").distinct()),
+                       "user_id", "friend_id")
     reach = purchased.join(edges, "user_id")
     fb = purchased.select("campaign_key", F.col("user_id").alias("friend_id"))
     soc = (reach.join(fb, ["campaign_key", "friend_id"], "left_semi")
