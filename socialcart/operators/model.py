@@ -87,29 +87,27 @@ def products_dim(events: DataFrame) -> DataFrame:
 def campaigns_dim(campaigns: DataFrame, key: tuple[str, str] = ("campaign_id", "campaign_type"),
                   tie_break: list[str] | None = None) -> DataFrame:
     """Latest row per (campaign_id, campaign_type): finished_at desc,
-    then started_at desc, NULLs last; full ties go to the smallest remaining
-    columns (``tie_break``, default: all other columns in order)."""
+    then started_at desc, NULLs last; full ties (left open by the source) go
+    to the largest remaining columns (``tie_break``, default: all other
+    columns in order, NULLs last).
+
+    One ``max_by`` aggregate over the ordering struct
+    ``(finished is not null, finished, started is not null, started, …)``:
+    descending NULLS LAST without casting or negating timestamps, so the
+    order does not depend on the session time zone."""
     k = list(key)
     rest = [c for c in campaigns.columns if c not in k]
     tb = tie_break if tie_break is not None else [c for c in rest
                                                   if c not in ("finished_at", "started_at")]
     rows = campaigns.where(F.col(k[0]).isNotNull() & F.col(k[1]).isNotNull())
-    # descending NULLS LAST on the two times, then ascending tie-break, in one
-    # ordering struct for min_by: (isnull(f), -f, isnull(s), -s, tie-break…)
-    rank = [F.col("finished_at").isNull(), _neg_time(F.col("finished_at")),
-            F.col("started_at").isNull(), _neg_time(F.col("started_at"))]
-    for c in tb:
-        rank += [F.col(c).isNull(), F.col(c)]
-    best = rows.groupBy(*k).agg(F.min_by(F.struct(*[F.col(c) for c in rest]),
+    rank = []
+    for c in ["finished_at", "started_at", *tb]:
+        rank += [F.col(c).isNotNull(), F.col(c)]
+    best = rows.groupBy(*k).agg(F.max_by(F.struct(*[F.col(c) for c in rest]),
                                          F.struct(*rank)).alias("_b"))
     return best.select(*k, "_b.*").select(*campaigns.columns)
 
 
-def _neg_time(c: Column) -> Column:
-    """Order-reversing key of a timestamp / date (microseconds, negated)."""
-    return -F.unix_micros(c.cast("timestamp"))
-
-
 def dense_ids(df: DataFrame, order: list[str], name: str = "event_id", prefix: str = "ev_",
               checkpoint: bool = True) -> DataFrame:
     """C17: ``<prefix><n>`` numbered densely from 1 in ``order``.

@@ -94,8 +94,9 @@ typed AS (
 SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY campaign_id, campaign_type
         ORDER BY finished_at DESC NULLS LAST, started_at DESC NULLS LAST,
-                 campaign_pk NULLS LAST, channel NULLS LAST, total_count NULLS LAST,
-                 ab_test NULLS LAST, hour_limit NULLS LAST, position NULLS LAST) AS rn
+                 campaign_pk DESC NULLS LAST, channel DESC NULLS LAST,
+                 total_count DESC NULLS LAST, ab_test DESC NULLS LAST,
+                 hour_limit DESC NULLS LAST, position DESC NULLS LAST) AS rn
     FROM typed WHERE campaign_id IS NOT NULL AND campaign_type IS NOT NULL
 ) WHERE rn = 1"""
 
@@ -325,8 +326,9 @@ UNION ALL SELECT 'campaigns', COUNT(*) FROM campaigns_v
 UNION ALL SELECT 'messages', COUNT(*) FROM messages_v
 UNION ALL SELECT 'friends', COUNT(*) FROM friends_v"""
     q["timing_stats"] = sql_with("events_v") + """
-SELECT 'events' AS database, event_type AS query_name, COUNT(*) AS runs, avg(price) AS avg_ms,
-       stddev_samp(price) AS stddev_ms, min(price) AS min_ms, max(price) AS max_ms
+SELECT 'events' AS database, event_type AS query_name, COUNT(*) AS runs,
+       round(avg(price), 3) AS avg_ms, round(stddev_samp(price), 3) AS stddev_ms,
+       min(price) AS min_ms, max(price) AS max_ms
 FROM events_v GROUP BY event_type"""
     q["incremental_upsert"] = sql_with("messages_v") + """
 SELECT message_id, ord, campaign_id, message_type, user_id, is_purchased FROM (

@@ -18,10 +18,11 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def timing_stats(rows: DataFrame) -> DataFrame:
     """Per (database, query_name): runs, average and **sample**
-    standard deviation of ``execution_time_ms`` (n − 1, as published)."""
+    standard deviation of ``execution_time_ms`` (n − 1, as published), to
+    3 decimals like the published table."""
     return rows.groupBy("database", "query_name").agg(
         F.count(F.lit(1)).alias("runs"),
-        F.avg("execution_time_ms").alias("avg_ms"),
-        F.stddev_samp("execution_time_ms").alias("stddev_ms"),
+        F.round(F.avg("execution_time_ms"), 3).alias("avg_ms"),
+        F.round(F.stddev_samp("execution_time_ms"), 3).alias("stddev_ms"),
         F.min("execution_time_ms").alias("min_ms"),
         F.max("execution_time_ms").alias("max_ms"))
