@@ -161,12 +161,15 @@ def campaign_helper_edges(has_client: DataFrame, messages: DataFrame) -> DataFra
 
 
 def helper_counts(helpers: DataFrame, messages: DataFrame) -> DataFrame:
-    """Helper edge counts and message bounds in one row."""
-    h = helpers.agg(F.count(F.lit(1)).alias("received_campaign_edges"),
-                    F.count_if(F.col("purchased")).alias("purchased_campaign_edges"))
-    m = messages.agg(F.min("row_id").alias("min_row_id"), F.max("row_id").alias("max_row_id"),
-                     F.count(F.lit(1)).alias("message_count"))
-    return h.withColumn("_one", F.lit(1)).join(m.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Helper edge counts and message bounds in one row (the message
+    bounds are scalar subqueries, no join)."""
+    m = messages.agg(F.min("row_id").alias("lo"), F.max("row_id").alias("hi"),
+                     F.count(F.lit(1)).alias("n"))
+    return helpers.agg(F.count(F.lit(1)).alias("received_campaign_edges"),
+                       F.count_if(F.col("purchased")).alias("purchased_campaign_edges")).select(
+        "received_campaign_edges", "purchased_campaign_edges",
+        m.select("lo").scalar().alias("min_row_id"), m.select("hi").scalar().alias("max_row_id"),
+        m.select("n").scalar().alias("message_count"))
 
 
 def q1_graph(campaigns: DataFrame, messages: DataFrame, clients: DataFrame,

@@ -88,15 +88,15 @@ def bm25_scores(hits: DataFrame, docs: DataFrame, text_cols: list[str]) -> DataF
     aggregate and document frequencies a per-keyword aggregate; both are
     joined on keys."""
     corpus = (docs.select(F.size(F.filter(_all_tokens(text_cols), lambda t: t != "")).alias("dl"))
-              .agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-              .withColumn("_one", F.lit(1)))
+              .agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")))
+    n_docs = corpus.select("n_docs").scalar()   # one-row aggregates as scalar subqueries
+    avgdl = corpus.select("avgdl").scalar()
     df_ = hits.groupBy("keyword").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl"))
-    return (hits.join(df_, "keyword")
-            .withColumn("_one", F.lit(1)).join(F.broadcast(corpus), "_one")
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / avgdl)
+    return (hits.join(F.broadcast(df_), "keyword")   # ≤ n keywords
             .withColumn("bm25", idf * F.col("tf") * (BM25_K1 + 1) / norm)
-            .drop("_one", "n_docs", "avgdl", "df"))
+            .drop("df"))
 
 
 def _cap(rows: DataFrame, per_keyword: int | None, overall: int | None,
@@ -129,12 +129,15 @@ def token_search(kw: DataFrame, products: DataFrame, fields: tuple[str, ...] = (
 
 def substring_search(kw: DataFrame, products: DataFrame, per_keyword: int | None = 20) -> DataFrame:
     """Q3-f: case-insensitive substring of the category code, score 0.0.
-    The keyword side is ≤ 3 rows and broadcast; each product row is tested
-    against each keyword once (linear in the products)."""
+    The ≤ n keywords become one array value (scalar subquery); each product
+    row keeps the keywords its code contains — one pass, no join."""
+    kw_arr = kw.select(F.collect_set("keyword")).scalar()
     code = F.lower(F.coalesce(F.col("category_code"), F.lit("")))
-    k = F.broadcast(kw.select("keyword"))
-    rows = products.join(k, code.contains(F.col("keyword"))).select(
-        "keyword", "product_id", "category_code", "brand", F.lit(0.0).alias("text_score"))
+    rows = (products.withColumn("_kw", kw_arr)
+            .select("product_id", "category_code", "brand",
+                    F.explode(F.filter("_kw", lambda k: code.contains(k))).alias("keyword"))
+            .select("keyword", "product_id", "category_code", "brand",
+                    F.lit(0.0).alias("text_score")))
     return _cap(rows, per_keyword, None)
 
 
@@ -142,9 +145,7 @@ def fallback_search(kw: DataFrame, products: DataFrame, per_keyword: int = 20,
                     fields: tuple[str, ...] = ("category_code",)) -> DataFrame:
     """Q3-g: token hits when there are any, else substring hits."""
     tok = token_search(kw, products, fields, "tf", per_keyword, None)
-    any_tok = tok.select(F.lit(1).alias("_one")).limit(1)
-    sub = (substring_search(kw, products, per_keyword).withColumn("_one", F.lit(1))
-           .join(F.broadcast(any_tok), "_one", "left_anti").drop("_one"))
+    sub = substring_search(kw, products, per_keyword).where(~tok.exists())
     # both sides are capped per keyword: a small, bounded result
     return tok.unionByName(sub).coalesce(1).sortWithinPartitions(
         F.col("keyword").asc(), F.col("text_score").desc(), F.col("product_id").asc())
