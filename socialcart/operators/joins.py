@@ -19,8 +19,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     returned unchanged and Spark picks a shuffle join (sort-merge or
     shuffled hash, with AQE skew splitting).
     """
+    return checked_broadcast(df, max_rows)[0]
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Like :func:`bounded_broadcast`, also telling whether it broadcast, so
+    a plan can pick a different shape for the large case."""
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
 def undirected(edges: DataFrame, a: str = "user_id", b: str = "friend_id") -> DataFrame:

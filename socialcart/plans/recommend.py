@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from socialcart.operators.joins import bounded_broadcast, undirected
+from socialcart.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, undirected
 
 # Event weights of the recommendation score.
 WEIGHTS = {"purchase": 3, "cart": 2, "view": 1}
@@ -68,18 +68,25 @@ def target_friends(friends: DataFrame, targets: DataFrame, dedupe_edges: bool =
     return edges.join(t, "user_id").select(F.col("user_id").alias("target_user_id"), "friend_id")
 
 
+def _event_contributions(events: DataFrame, own_types: tuple[str, ...] | None) -> DataFrame:
+    """Per event: ``score`` and ``n`` for the recommendation types and
+    ``touched`` for the own-product exclusion (all types when None)."""
+    rec = F.col("event_type").isin(*REC_TYPES)
+    own = F.lit(True) if own_types is None else F.col("event_type").isin(*own_types)
+    return events.select("user_id", "product_id",
+                         F.when(rec, _weight(F.col("event_type"))).otherwise(0).alias("score"),
+                         F.when(rec, 1).otherwise(0).alias("n"), own.alias("touched"))
+
+
 def user_product_activity(events: DataFrame, users: DataFrame,
                           own_types: tuple[str, ...] | None = None) -> DataFrame:
     """Events of ``users`` folded to one row per (user, product):
     ``score`` and ``n`` over the recommendation types, ``touched`` = any event
     of ``own_types`` (all types when None)."""
-    rec = F.col("event_type").isin(*REC_TYPES)
-    own = F.lit(True) if own_types is None else F.col("event_type").isin(*own_types)
-    return (events.join(users, "user_id", "left_semi")
+    return (_event_contributions(events, own_types).join(users, "user_id", "left_semi")
             .groupBy("user_id", "product_id")
-            .agg(F.sum(F.when(rec, _weight(F.col("event_type"))).otherwise(0)).alias("score"),
-                 F.count_if(rec).alias("n"),
-                 F.bool_or(own).alias("touched")))
+            .agg(F.sum("score").alias("score"), F.sum("n").alias("n"),
+                 F.bool_or("touched").alias("touched")))
 
 
 def candidate_scores(tf: DataFrame, activity: DataFrame) -> DataFrame:
@@ -104,7 +111,8 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
                     n_targets: int = 100, k: int = 5,
                     activity_types: tuple[str, ...] | None = None,
                     own_types: tuple[str, ...] | None = None,
-                    dedupe_edges: bool = False, method: str = "window") -> DataFrame:
+                    dedupe_edges: bool = False, method: str = "window",
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Q2 end to end.  ``method='window'`` ranks with ``row_number``;
     ``method='array'`` builds the ranked list per target as an array
     (collect / sort / slice / posexplode, as the document form does) — over
@@ -112,9 +120,9 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
 
     One "roles" table maps each user of interest to the targets it matters
     for: (target, friend, self=false) and (target, target, self=true).  The
-    event fact is scanned once, semi-joined to those users and folded per
-    (user, product); one join with the roles and one aggregate per
-    (target, product) then give the friend scores and the own-product flag
+    event fact is scanned once and joined to the roles (broadcast after a
+    row check: filter and fan-out happen map-side); one aggregate per
+    (target, product) then gives the friend scores and the own-product flag
     together, so the NOT EXISTS needs no second pass over the events.
     """
     targets = top_active_users(events, n_targets, activity_types).select("user_id")
@@ -124,9 +132,16 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
                       F.lit(False).alias("is_self")).unionByName(
         targets.select(F.col("user_id").alias("target_user_id"), "user_id",
                        F.lit(True).alias("is_self")))
-    roles = bounded_broadcast(roles)
-    interest = roles.select("user_id").distinct()
-    act = user_product_activity(events, interest, own_types)
+    roles, small = checked_broadcast(roles, broadcast_max_rows)
+    if small:
+        # map-side: the broadcast join filters the events to users of interest
+        # and fans them out to their targets; partial aggregation per
+        # (target, product) combines the fan-out before the one shuffle
+        act = _event_contributions(events, own_types)
+    else:
+        # large role table: fold events per (user, product) first, so the
+        # shuffle join moves pre-aggregated rows (AQE splits hot users)
+        act = user_product_activity(events, roles.select("user_id").distinct(), own_types)
     friend = ~F.col("is_self")
     scored = (act.join(roles, "user_id")
               .groupBy("target_user_id", "product_id")

@@ -32,14 +32,23 @@ BM25_B = 0.75
 RESULT_COLUMNS = ["keyword", "product_id", "category_code", "brand", "text_score"]
 
 
-def keywords(recs: DataFrame, products: DataFrame, n: int = 3, distinct_products: bool = True,
-             splitter: str = WORD_SPLIT) -> DataFrame:
-    """Q3-a…d: ``(keyword, frequency)``, at most ``n`` rows."""
-    if distinct_products:
-        ids = F.broadcast(recs.select("product_id").distinct())  # ≤ targets × k rows
-        codes = products.join(ids, "product_id", "left_semi").select("category_code")
+def keywords(recs: DataFrame, products: DataFrame | None = None, n: int = 3,
+             distinct_products: bool = True, splitter: str = WORD_SPLIT) -> DataFrame:
+    """Q3-a…d: ``(keyword, frequency)``, at most ``n`` rows.
+
+    ``recs`` are Q2 rows.  When they already carry ``category_code`` (Q2-g
+    attached it) no product lookup is needed: the code depends on the
+    product alone, so distinct (product, code) pairs are the distinct
+    products.  Otherwise the codes come from ``products`` semi-joined to the
+    (≤ targets × k) recommended ids."""
+    if "category_code" in recs.columns:
+        rows = recs.select("product_id", "category_code")
+        codes = rows.distinct() if distinct_products else rows
     else:
-        codes = recs.select("category_code")
+        ids = F.broadcast(recs.select("product_id").distinct())
+        codes = products.join(ids, "product_id", "left_semi").select("product_id", "category_code")
+        if not distinct_products:
+            codes = recs.select("product_id").join(codes, "product_id", "left")
     return top_tokens(codes, "category_code", n, splitter)
 
 

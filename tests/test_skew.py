@@ -106,12 +106,14 @@ def _brute_q2(edges, events, n_targets=100, k=5):
     return sorted(out)
 
 
-def test_q2_under_skew(spark, skew_conf):
+@pytest.mark.parametrize("broadcast_max_rows", [0, 1_000_000])
+def test_q2_under_skew(spark, skew_conf, broadcast_max_rows):
     edges, _, events = _data()
     e = spark.createDataFrame(events, "event_id long, user_id string, event_type string, product_id long")
     f = spark.createDataFrame(edges, "user_id string, friend_id string")
     p = spark.createDataFrame([(i, f"c{i}", "b") for i in range(40)],
                               "product_id long, category_code string, brand string")
     got = sorted((r["target_user_id"], r["product_id"], r["weighted_score"], r["interactions"],
-                  r["rank_in_user"]) for r in q2.recommendations(e, f, p).collect())
+                  r["rank_in_user"]) for r in
+                 q2.recommendations(e, f, p, broadcast_max_rows=broadcast_max_rows).collect())
     assert got == _brute_q2(edges, events)
