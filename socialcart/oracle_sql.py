@@ -17,6 +17,14 @@ def _pct(a: str, b: str, zero: str = "NULL") -> str:
             f"CAST((20000 * ({a}) + ({b})) // (2 * ({b})) AS DOUBLE) / 100 END")
 
 
+# Exact half-even rounding of 100 * a / b to two decimals (document form).
+def _pct_even(a: str, b: str) -> str:
+    q = f"((10000 * ({a})) // ({b}))"
+    r = f"((10000 * ({a})) % ({b}))"
+    return (f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST(CASE WHEN 2 * {r} > ({b}) THEN {q} + 1 "
+            f"WHEN 2 * {r} < ({b}) THEN {q} ELSE {q} + ({q} % 2) END AS DOUBLE) / 100 END")
+
+
 _Q1_CU = """
 campaign_user_stats AS (
     SELECT m.campaign_id, m.message_type, c.channel, c.topic, m.user_id,
@@ -42,7 +50,7 @@ social_purchasers AS (
 )"""
 
 
-def _q1(zero: str) -> str:
+def _q1(zero: str, even: bool = False) -> str:
     return (sql_with("messages_v", "campaigns_v", "friends_v") + "," + _Q1_CU + f""",
 flagged AS (
     SELECT s.*, EXISTS (SELECT 1 FROM social_purchasers sp
@@ -59,11 +67,15 @@ agg AS (
     FROM flagged GROUP BY campaign_id, message_type, channel, topic
 )
 SELECT campaign_id, message_type, channel, topic, recipients, purchasers,
-       {_pct('purchasers', 'recipients', zero)} AS conversion_rate_pct,
+       {_pct_even('purchasers', 'recipients') if even else _pct('purchasers', 'recipients', zero)}
+           AS conversion_rate_pct,
        social_purchasers,
-       {_pct('social_purchasers', 'purchasers', zero)} AS social_support_share_pct
+       {_pct_even('social_purchasers', 'purchasers') if even
+        else _pct('social_purchasers', 'purchasers', zero)} AS social_support_share_pct
 FROM agg
-ORDER BY conversion_rate_pct DESC NULLS LAST, purchasers DESC, campaign_id, message_type
+ORDER BY conversion_rate_pct DESC NULLS LAST, purchasers DESC,
+         {"COALESCE(TRY_CAST(campaign_id AS BIGINT), 0) DESC," if even else ""}
+         campaign_id, message_type
 LIMIT 20""")
 
 
@@ -202,6 +214,7 @@ def oracle() -> dict[str, str]:
     q = model_oracle()
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
+    q["q1_document"] = _q1("0.0", even=True)
     q["campaign_user_stats"] = (sql_with("messages_v", "campaigns_v", "friends_v") + ","
                                 + _Q1_CU + "\nSELECT * FROM campaign_user_stats")
     q["social_purchasers"] = (sql_with("messages_v", "campaigns_v", "friends_v") + ","

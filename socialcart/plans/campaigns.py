@@ -94,8 +94,12 @@ def social_purchasers(cu: DataFrame, friends: DataFrame) -> DataFrame:
 
 def campaign_conversion(messages: DataFrame, campaigns: DataFrame, friends: DataFrame,
                         top_n: int | None = 20, zero_as_null: bool = True,
-                        rounding: str = "half_up") -> DataFrame:
-    """Q1: the full report, best conversion first (top ``top_n``)."""
+                        rounding: str = "half_up", tie_break: str = "key") -> DataFrame:
+    """Q1: the full report, best conversion first (top ``top_n``).
+
+    ``tie_break='key'`` orders remaining ties by (campaign_id, message_type);
+    ``'numeric_desc'`` (document form) first by the campaign id as a number,
+    descending, 0 when it is not numeric."""
     cu = campaign_users(messages)
     counts = cu.groupBy(*CAMPAIGN_KEY).agg(
         F.count(F.lit(1)).alias("recipients"),
@@ -114,9 +118,10 @@ def campaign_conversion(messages: DataFrame, campaigns: DataFrame, friends: Data
                .alias("social_purchasers"),
                pct(F.coalesce(F.col("social_purchasers"), F.lit(0)), F.col("purchasers"),
                    zero_as_null, rounding).alias("social_support_share_pct")))
-    out = out.orderBy(F.col("conversion_rate_pct").desc_nulls_last(),
-                      F.col("purchasers").desc(), F.col("campaign_id").asc(),
-                      F.col("message_type").asc())
+    order = [F.col("conversion_rate_pct").desc_nulls_last(), F.col("purchasers").desc()]
+    if tie_break == "numeric_desc":
+        order.append(F.coalesce(F.col("campaign_id").try_cast("bigint"), F.lit(0)).desc())
+    out = out.orderBy(*order, F.col("campaign_id").asc(), F.col("message_type").asc())
     return out.limit(top_n) if top_n else out
 
 

@@ -23,6 +23,12 @@ def _q1_zero_share(spark, d):
                                   tv.friends(spark, d), zero_as_null=False)
 
 
+def _q1_document(spark, d):
+    return q1.campaign_conversion(tv.messages(spark, d), tv.campaigns(spark, d),
+                                  tv.friends(spark, d), zero_as_null=False,
+                                  rounding="half_even", tie_break="numeric_desc")
+
+
 def _campaign_user_stats(spark, d):
     return q1.campaign_user_stats(tv.messages(spark, d), tv.campaigns(spark, d))
 
@@ -118,6 +124,7 @@ def _analysis_queries() -> dict[str, Query]:
     return {
         "q1_campaign_conversion": _q1_campaign_conversion,
         "q1_zero_share": _q1_zero_share,
+        "q1_document": _q1_document,
         "campaign_user_stats": _campaign_user_stats,
         "social_purchasers": _social_purchasers,
         "friends_edges": _friends_edges,

@@ -60,3 +60,31 @@ def checkpoint_root(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="socialcart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * initial shuffle partitions ≈ input / target size, at least 2× the
+      total cores, so the largest shuffle (the Q1 edge fan-out, the Q2
+      per-(target, product) aggregate) starts with partitions that fit in
+      executor memory; AQE then coalesces small ones to the advisory size
+      and splits skewed ones;
+    * broadcasts stay decided by the explicit row checks in the plans; the
+      automatic threshold is kept at the Spark default.
+
+    Example: 100 TB on 1000 executors × 8 cores → 819,200 initial shuffle
+    partitions of ~128 MB, coalesced by AQE where the data shrank.
+    """
+    cores = executor_cores * executors
+    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.default.parallelism": str(2 * cores),
+    }
