@@ -63,23 +63,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
-                 target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
+                 shuffle_bytes: int | None = None,
+                 target_partition_bytes: int = 128 * 1024 ** 2,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of input.
 
     * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
-    * initial shuffle partitions ≈ input / target size, at least 2× the
-      total cores, so the largest shuffle (the Q1 edge fan-out, the Q2
-      per-(target, product) aggregate) starts with partitions that fit in
-      executor memory; AQE then coalesces small ones to the advisory size
-      and splits skewed ones;
+    * initial shuffle partitions ≈ largest shuffle / target size, clamped
+      to [2 × total cores, ``max_shuffle_partitions``].  The shuffles here
+      move pre-aggregated rows, so ``shuffle_bytes`` defaults to a tenth of
+      the input; AQE then coalesces small partitions to the advisory size
+      and splits skewed ones (the clamp keeps the maps × reducers shuffle
+      bookkeeping bounded);
     * broadcasts stay decided by the explicit row checks in the plans; the
       automatic threshold is kept at the Spark default.
 
-    Example: 100 TB on 1000 executors × 8 cores → 819,200 initial shuffle
-    partitions of ~128 MB, coalesced by AQE where the data shrank.
+    Example: 100 TB on 1000 executors × 8 cores → 81,920 initial shuffle
+    partitions of ~128 MB each for a 10 TB shuffle.
     """
     cores = executor_cores * executors
-    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    sb = shuffle_bytes if shuffle_bytes is not None else input_bytes // 10
+    shuffle = min(max(2 * cores, sb // target_partition_bytes), max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
