@@ -173,9 +173,15 @@ def helper_counts(helpers: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def q1_graph(campaigns: DataFrame, messages: DataFrame, clients: DataFrame,
-             friends_raw: DataFrame, users: DataFrame, top_n: int = 20) -> DataFrame:
+             friends_raw: DataFrame, users: DataFrame | None = None, top_n: int = 20) -> DataFrame:
     """Q1 graph form end to end: recipients over clients (M1), every campaign
-    listed (M5), empty ratios 0 (M6)."""
+    listed (M5), empty ratios 0 (M6).
+
+    FRIEND_OF edges need both users to exist.  When ``users`` is the D01
+    user set built from the same friendship rows it holds every endpoint by
+    construction, so the check cannot remove an edge and is skipped (pass
+    ``users`` to check against another user set)."""
+    from socialcart.operators.model import friend_edges
     from socialcart.plans.campaigns import campaign_conversion_graph
 
     hc = has_client_edges(clients, messages)
@@ -183,5 +189,5 @@ def q1_graph(campaigns: DataFrame, messages: DataFrame, clients: DataFrame,
     nodes = campaign_nodes(campaigns, belongs_to_edges(messages))
     received = helpers.select("user_id", "campaign_key")
     purchased = helpers.where("purchased").select("user_id", "campaign_key")
-    fo = friend_of_edges(friends_raw, users)
+    fo = friend_edges(friends_raw) if users is None else friend_of_edges(friends_raw, users)
     return campaign_conversion_graph(nodes, received, purchased, fo, top_n)

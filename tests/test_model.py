@@ -81,3 +81,13 @@ def test_quality_checks(spark):
     assert V.orphans(t, parent, ["k"]).count() == 0
     child = spark.createDataFrame([("b",), (None,)], "k string")
     assert V.orphans(child, parent, ["k"]).count() == 1
+
+
+def test_friend_of_check_is_vacuous_for_d01_users(spark):
+    """q1_graph skips the FRIEND_OF existence check because D01 users hold
+    every friendship endpoint; verify that on the test tables."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    q = entry.queries()
+    assert q["friend_of_edges"](spark, SF_SMALL).count() == q["friends_edges"](spark, SF_SMALL).count()
