@@ -22,10 +22,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return checked_broadcast(df, max_rows)[0]
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      reuse: bool = False) -> tuple[DataFrame, bool]:
     """Like :func:`bounded_broadcast`, also telling whether it broadcast, so
-    a plan can pick a different shape for the large case."""
-    n = df.limit(max_rows + 1).count()
+    a plan can pick a different shape for the large case.
+
+    ``reuse=True`` persists ``df`` (memory, spilling to disk) and counts it
+    fully, so the checked rows are computed once and read again by the
+    query in either case (broadcast or shuffle join); lost blocks are
+    recomputed from lineage.  Use it when ``df`` is expensive to derive."""
+    if reuse:
+        df = df.persist()
+        n = df.count()
+    else:
+        n = df.limit(max_rows + 1).count()
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 

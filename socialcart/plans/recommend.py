@@ -132,7 +132,7 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
                       F.lit(False).alias("is_self")).unionByName(
         targets.select(F.col("user_id").alias("target_user_id"), "user_id",
                        F.lit(True).alias("is_self")))
-    roles, small = checked_broadcast(roles, broadcast_max_rows)
+    roles, small = checked_broadcast(roles, broadcast_max_rows, reuse=True)
     if small:
         # map-side: the broadcast join filters the events to users of interest
         # and fans them out to their targets; partial aggregation per
