@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 WORD_SPLIT = "[^a-z0-9]+"   # lower-cased text split on runs of non-alphanumerics
 DOT_SPLIT = "[.]"           # graph script variant: split on '.' only
 MIN_TOKEN_LEN = 3           # keep tokens longer than 2 characters
+TOKEN_RE = "[a-z0-9]+"      # a token of lower-cased text (the complement of WORD_SPLIT)
 
 
 def tokens(text: Column, splitter: str = WORD_SPLIT) -> Column:

@@ -5,8 +5,9 @@
   counts each recommended product once (relational form); ``False`` counts
   per recommendation row (document and graph Python form).
 * token search: products whose text contains the keyword as a whole token.
-  Implemented as an inverted-index equi-join: product tokens ⋈ broadcast
-  keywords (≤ 3 rows) — one pass over the products, no per-pair test.
+  The ≤ 3 keywords become one token-bounded regex (scalar subquery) and
+  only their occurrences are extracted from each text — one pass over the
+  products, no join and no per-pair test.
 * score: ``tf`` (occurrences of the keyword among the product's tokens) or
   ``bm25`` (Robertson & Zaragoza 2009; k1 = 1.2, b = 0.75, df and average
   length from aggregates over all products).
@@ -24,7 +25,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from socialcart.functions.text import DOT_SPLIT, WORD_SPLIT, keep_token, tokens  # noqa: F401
+from socialcart.functions.text import DOT_SPLIT, TOKEN_RE, WORD_SPLIT, keep_token, tokens  # noqa: F401
 
 # BM25 parameters.
 BM25_K1 = 1.2
@@ -62,10 +63,25 @@ def top_tokens(df: DataFrame, text_col: str, n: int = 3, splitter: str = WORD_SP
             .limit(n))
 
 
-def _all_tokens(text_cols: list[str]):
+def _lowered(text_cols: list[str]):
+    """Lower-cased text of the columns; several columns are joined with a
+    space (a separator), which pools their tokens."""
     if len(text_cols) == 1:
-        return tokens(F.col(text_cols[0]))
-    return F.flatten(F.array(*[tokens(F.col(c)) for c in text_cols]))
+        return F.lower(F.coalesce(F.col(text_cols[0]), F.lit("")))
+    return F.lower(F.concat_ws(" ", *[F.col(c) for c in text_cols]))
+
+
+def keyword_pattern(kw: DataFrame):
+    """Scalar-subquery column: one regex matching any keyword as a whole
+    token, ``(?<![a-z0-9])(?:k1|k2|…)(?![a-z0-9])`` — an occurrence bounded
+    by non-alphanumerics is exactly a token equal to the keyword.  Keywords
+    with other characters can never equal a token and are left out; NULL
+    when no keyword remains.  The keyword side is ≤ n rows."""
+    ks = F.collect_set("keyword")
+    return (kw.where(F.col("keyword").rlike("^[a-z0-9]+$"))
+            .select(F.when(F.size(ks) > 0, F.concat(
+                F.lit("(?<![a-z0-9])(?:"), F.array_join(ks, "|"), F.lit(")(?![a-z0-9])"))))
+            .scalar())
 
 
 def token_hits(kw: DataFrame, docs: DataFrame, id_col: str, text_cols: list[str],
@@ -74,21 +90,18 @@ def token_hits(kw: DataFrame, docs: DataFrame, id_col: str, text_cols: list[str]
     a keyword as a token of any of ``text_cols`` (tokens of all columns
     pooled); ``dl`` is the document's token count.
 
-    One pass over the documents.  The keywords (≤ n rows, a proven bound)
-    become one array value through a scalar subquery; each document's token
-    array is built once (in a projection *below* the explode, so nothing per
-    document is re-evaluated per token) and filtered to keyword tokens
-    before the explode, so only matching tokens become rows.  Counts use
-    map-side partial aggregation."""
-    kw_arr = kw.select(F.collect_set("keyword")).scalar()
-    base = docs.select(id_col, *carry, _all_tokens(text_cols).alias("_toks"),
-                       kw_arr.alias("_kw"))
+    One pass over the documents: the keywords (≤ n rows, a proven bound)
+    become one regex through a scalar subquery, and only the keyword
+    occurrences of each whole text are extracted, so no per-token rows or
+    token arrays are built.  Counts use map-side partial aggregation."""
+    pat = keyword_pattern(kw)
+    base = docs.select(id_col, *carry, _lowered(text_cols).alias("_txt"))
     keep = [id_col, *carry]
     if with_len:
-        base = base.withColumn("dl", F.size(F.filter("_toks", lambda t: t != "")))
+        base = base.withColumn("dl", F.regexp_count("_txt", F.lit(TOKEN_RE)))
         keep.append("dl")
-    matched = F.filter("_toks", lambda t: F.array_contains(F.col("_kw"), t))
-    exploded = base.select(*keep, F.explode(matched).alias("keyword"))
+    exploded = base.select(*keep, F.explode(F.regexp_extract_all("_txt", pat, F.lit(0)))
+                           .alias("keyword"))
     return exploded.groupBy("keyword", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -96,7 +109,7 @@ def bm25_scores(hits: DataFrame, docs: DataFrame, text_cols: list[str]) -> DataF
     """Add ``bm25`` to token hits.  Corpus size and mean length are a one-row
     aggregate and document frequencies a per-keyword aggregate; both are
     joined on keys."""
-    corpus = (docs.select(F.size(F.filter(_all_tokens(text_cols), lambda t: t != "")).alias("dl"))
+    corpus = (docs.select(F.regexp_count(_lowered(text_cols), F.lit(TOKEN_RE)).alias("dl"))
               .agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")))
     n_docs = corpus.select("n_docs").scalar()   # one-row aggregates as scalar subqueries
     avgdl = corpus.select("avgdl").scalar()
