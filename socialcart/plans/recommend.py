@@ -62,10 +62,10 @@ def target_friends(friends: DataFrame, targets: DataFrame, dedupe_edges: bool =
     """Q2-b: ``(target_user_id, friend_id)`` over undirected edges; a pair
     stored both ways appears twice unless ``dedupe_edges``."""
     edges = undirected(friends, "user_id", "friend_id")
-    if dedupe_edges:
-        edges = edges.distinct()
-    t = F.broadcast(targets.select("user_id"))
-    return edges.join(t, "user_id").select(F.col("user_id").alias("target_user_id"), "friend_id")
+    t = F.broadcast(targets.select("user_id"))  # ≤ n_targets rows
+    tf = edges.join(t, "user_id").select(F.col("user_id").alias("target_user_id"), "friend_id")
+    # de-duplicate after the restriction, so only the targets' edges move
+    return tf.distinct() if dedupe_edges else tf
 
 
 def _event_contributions(events: DataFrame, own_types: tuple[str, ...] | None) -> DataFrame:
@@ -89,16 +89,6 @@ def user_product_activity(events: DataFrame, users: DataFrame,
                  F.bool_or("touched").alias("touched")))
 
 
-def candidate_scores(tf: DataFrame, activity: DataFrame) -> DataFrame:
-    """Q2-c/d: weighted score and interaction count per (target, product)."""
-    fa = activity.where(F.col("n") > 0).select(
-        F.col("user_id").alias("friend_id"), "product_id", "score", "n")
-    return (tf.join(fa, "friend_id")
-            .groupBy("target_user_id", "product_id")
-            .agg(F.sum("score").cast("bigint").alias("weighted_score"),
-                 F.sum("n").cast("bigint").alias("interactions")))
-
-
 def attach_products(recs: DataFrame, products: DataFrame) -> DataFrame:
     """Q2-g: category_code and brand, NULL when the product is unknown."""
     ids = F.broadcast(recs.select("product_id").distinct())
