@@ -55,12 +55,14 @@ def field_count(line) -> F.Column:
     return F.length(outside) - F.length(F.regexp_replace(outside, ",", "")) + 1
 
 
-def read_text_table(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_text_table(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, header names trimmed (H0).
 
     Adds ``_malformed`` (more fields than the header, S03).  Short rows get
     NULLs for the missing trailing fields (S04); blank lines are skipped by
-    the reader (S05).  ``multiline`` accepts quoted newlines.
+    the reader (S05).  ``multiline=True`` accepts quoted newlines but makes
+    every file one unsplittable task, so it is opt-in: the default read
+    splits large files across executors.
     """
     names = _header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
@@ -74,12 +76,12 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = True) -> D
     return out
 
 
-def clean_csv(spark: SparkSession, path: str, out_path: str, fmt: str = "csv",
-              compat: bool = False) -> dict[str, int]:
+def clean_csv(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
+              compat: bool = False, multiline: bool = False) -> dict[str, int]:
     """Clean one table, overwrite ``out_path``; returns
     ``{"kept", "skipped_empty", "skipped_malformed"}`` measured during the
     write itself."""
-    raw = read_text_table(spark, path)
+    raw = read_text_table(spark, path, multiline)
     data_cols = [c for c in raw.columns if c != "_malformed"]
     obs = Observation("ingest")
     # malformed rows are counted on the raw side of the same scan
@@ -102,16 +104,20 @@ def clean_csv(spark: SparkSession, path: str, out_path: str, fmt: str = "csv",
             "skipped_malformed": int(m1["skipped_malformed"])}
 
 
-def clean_csv_tree(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str = "csv") -> DataFrame:
+def clean_csv_tree(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str = "parquet",
+                   multiline: bool = False) -> DataFrame:
     """S01 + S07 + S08: clean every CSV under ``raw_dir`` into ``out_dir``
-    at the same relative path; returns per-file metrics plus a total row."""
+    at the same relative path (Parquet by default, without the ``.csv``
+    suffix; ``fmt='csv'`` keeps the name); returns per-file metrics plus a
+    total row."""
     files = list_csv_files(spark, raw_dir)
     preflight(spark, files)
     rows = []
     base = urlparse(raw_dir).path.rstrip("/") or raw_dir
     for f in files:
         rel = os.path.relpath(urlparse(f).path, base)
-        m = clean_csv(spark, f, os.path.join(out_dir, rel), fmt)
+        target = rel if fmt == "csv" else os.path.splitext(rel)[0]
+        m = clean_csv(spark, f, os.path.join(out_dir, target), fmt, multiline=multiline)
         rows.append((rel, m["kept"], m["skipped_empty"], m["skipped_malformed"]))
     schema = "file string, kept bigint, skipped_empty bigint, skipped_malformed bigint"
     per_file = spark.createDataFrame(rows, schema)

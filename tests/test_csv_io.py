@@ -30,7 +30,8 @@ def test_read_and_clean_csv(spark, tmp_dir):
     src = os.path.join(tmp_dir, "raw", "sub", "messages.csv")
     _write(src, RAW)
     out = os.path.join(tmp_dir, "out")
-    metrics = csv_io.clean_csv_tree(spark, os.path.join(tmp_dir, "raw"), out)
+    metrics = csv_io.clean_csv_tree(spark, os.path.join(tmp_dir, "raw"), out, fmt="csv",
+                                    multiline=True)
     m = {r["file"]: r for r in metrics.collect()}
     assert m["sub/messages.csv"]["kept"] == 5
     assert m["sub/messages.csv"]["skipped_empty"] == 1
@@ -46,6 +47,16 @@ def test_read_and_clean_csv(spark, tmp_dir):
     assert rows["6"]["user_id"] == "multi\nline"
 
 
+def test_default_parquet_output_and_splittable_read(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "raw", "events.csv")
+    _write(src, "event_time,price,user_id\n2020-1-5,1.50,7.0\n,,\n")
+    metrics = {r["file"]: r for r in csv_io.clean_csv_tree(spark, os.path.join(tmp_dir, "raw"),
+                                                           os.path.join(tmp_dir, "out")).collect()}
+    assert (metrics["events.csv"]["kept"], metrics["events.csv"]["skipped_empty"]) == (1, 1)
+    row = spark.read.parquet(os.path.join(tmp_dir, "out", "events")).first()
+    assert (row["event_time"], row["price"], row["user_id"]) == ("2020-01-05 00:00:00", "1.5", "7")
+
+
 def test_header_names_are_trimmed(spark, tmp_dir):
     src = os.path.join(tmp_dir, "h.csv")
     _write(src, " id , note \n1,x\n")
