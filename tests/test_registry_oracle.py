@@ -57,13 +57,27 @@ def test_partition_count_does_not_change_results(spark, name):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     out = []
     try:
-        for n in ("1", "7"):
+        for n in ("1", "7", "200"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
             df = entry.queries()[name](spark, SF_SMALL)
             out.append(_rows(df.columns, df.collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert out[0] == out[1]
+    assert out[0] == out[1] == out[2]
+
+
+def test_q1_variants_agree_except_empty_shares(spark):
+    q = entry.queries()
+    rel = {(r["campaign_id"], r["message_type"]): r.asDict()
+           for r in q["q1_campaign_conversion"](spark, SF_SMALL).collect()}
+    doc = {(r["campaign_id"], r["message_type"]): r.asDict()
+           for r in q["q1_zero_share"](spark, SF_SMALL).collect()}
+    assert rel.keys() == doc.keys()
+    for k, r in rel.items():
+        d = doc[k]
+        assert {c: v for c, v in r.items() if c != "social_support_share_pct"} == \
+               {c: v for c, v in d.items() if c != "social_support_share_pct"}
+        assert d["social_support_share_pct"] == (r["social_support_share_pct"] or 0.0)
 
 
 def test_entry_smoke(spark):
