@@ -108,18 +108,20 @@ def campaigns_dim(campaigns: DataFrame, key: tuple[str, str] = ("campaign_id", "
     return best.select(*k, "_b.*").select(*campaigns.columns)
 
 
-def dense_ids(df: DataFrame, order: list[str], name: str = "event_id", prefix: str = "ev_",
-              checkpoint: bool = True) -> DataFrame:
-    """C17: ``<prefix><n>`` numbered densely from 1 in ``order``.
-
-    A global sort (range partitioning, all executors), then per-partition
-    row counts (one small aggregate: one row per partition) turned into
-    offsets.  The sorted frame is checkpointed to the shared checkpoint
+def dense_ids(df: DataFrame, order: list[str] | None, name: str = "event_id",
+              prefix: str = "ev_", checkpoint: bool = True) -> DataFrame:
+    """C17: ``<prefix><n>`` numbered densely from 1 in ``order``, or in input
+    order (file, then row position, like a sequence on insert) when
+    ``order`` is None — that case needs no sort at all.
+
+    With an order: a global sort (range partitioning, all executors).  Then
+    per-partition row counts (one small aggregate: one row per partition)
+    turned into offsets.  The frame is checkpointed to the shared checkpoint
     folder so the two reads see the same partitions, also after an executor
     loss; no rows pass through the driver.
     """
-    s = (df.orderBy(*order)
-         .withColumn("_pid", F.spark_partition_id())
+    s = (df.orderBy(*order) if order else df)
+    s = (s.withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
         from socialcart.session import checkpoint_root

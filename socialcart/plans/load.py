@@ -86,10 +86,10 @@ def typed_events(raw: DataFrame, strict: bool = True) -> DataFrame:
                    _t("event_type").alias("event_type"), _t("user_id").alias("user_id"),
                    _t("product_id").alias("product_id"),
                    TY.to_decimal(F.col("price"), strict).alias("price"),
-                   _t("user_session").alias("user_session"),
-                   F.monotonically_increasing_id().alias("_pos"))
+                   _t("user_session").alias("user_session"))
     e = e.dropna("any", subset=["user_id", "product_id"])
-    return M.dense_ids(e, ["event_time", "_pos"]).drop("_pos").select(
+    # numbered in input order, like a sequence filled on insert: no sort
+    return M.dense_ids(e, None).select(
         "event_id", "event_time", "event_type", "user_id", "product_id", "price", "user_session")
 
 

@@ -52,6 +52,8 @@ def test_dense_ids(spark):
     got = sorted((r["k"], r["eid"]) for r in out.collect())
     assert got[0] == (0, "ev_1") and got[-1] == (999, "ev_1000")
     assert len({e for _, e in got}) == 1000
+    pos = M.dense_ids(spark.range(0, 500, 1, 5), None, name="eid", prefix="")
+    assert sorted((r["id"], int(r["eid"])) for r in pos.collect()) == [(i, i + 1) for i in range(500)]
 
 
 def test_graph_upsert_and_first_non_blank(spark):
