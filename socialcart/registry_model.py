@@ -18,9 +18,8 @@ from socialcart.sources import testviews as tv
 
 def _clean_one(col: str, compat: bool = False):
     def run(spark, d):
-        raw = tv.raw_messages(spark, d)
-        return raw.select(F.col(col).alias("raw"),
-                          C.clean_value(col, F.col(col), compat).alias("cleaned"))
+        raw = tv.raw_messages(spark, d).select(F.col(col).alias("raw"), F.col(col))
+        return C.clean_columns(raw, [col], compat).withColumnRenamed(col, "cleaned")
     return run
 
 
@@ -31,15 +30,16 @@ def clean_row(spark, d):
 # --- typing (C09–C17, C19–C21) and modelling (D01–D07) --------------------
 
 def typed_messages(spark, d):
-    c = C.clean_frame(tv.raw_messages(spark, d))
-    typed = c.select(
+    # required fields (C21) are checked inside the cleaning, before the
+    # expensive rules: a cleaned value is blank iff it is blank there
+    c = C.clean_frame(tv.raw_messages(spark, d), required=("id", "message_type"))
+    return c.select(
         TY.blank_null(F.col("id")).alias("row_id"),
         TY.blank_null(F.col("message_type")).alias("message_type"),
         TY.to_bool(F.col("is_purchased")).alias("is_purchased"),
         TY.to_timestamp_ntz(F.col("sent_at"), strict=False).alias("sent_at"),
         TY.to_decimal(F.col("price"), strict=False).alias("price"),
         TY.blank_null(F.col("status")).alias("status"))
-    return typed.dropna("any", subset=["row_id", "message_type"])  # C21
 
 
 def typed_campaigns(spark, d):

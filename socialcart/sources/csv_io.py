@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialcart.functions.clean import blank_row, clean_frame
+from socialcart.functions.clean import clean_frame
 
 CORRUPT = "_corrupt_record"
 LFS_PREFIX = "version https://git-lfs"
@@ -87,13 +87,9 @@ def clean_csv(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet
     # malformed rows are counted on the raw side of the same scan
     counted = (raw.select(*data_cols, "_malformed")
                .observe(obs, F.count_if(F.col("_malformed")).alias("skipped_malformed")))
-    cleaned = clean_frame(counted.where(~F.col("_malformed")).select(*data_cols),
-                          compat=compat, drop_blank=False)
-    blank = blank_row(cleaned.columns)
     obs2 = Observation("kept")
-    out = (cleaned.observe(obs2, F.count_if(blank).alias("skipped_empty"),
-                           F.count_if(~blank).alias("kept"))
-           .where(~blank))
+    out = clean_frame(counted.where(~F.col("_malformed")).select(*data_cols),
+                      compat=compat, drop_blank=True, observation=obs2)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(out_path)
