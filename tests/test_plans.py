@@ -52,3 +52,15 @@ def test_best_row_is_an_aggregate_not_a_sort(spark):
 def test_token_search_extracts_only_keyword_occurrences(spark):
     plan = _plan(entry.queries()["doc_token_search"](spark, SF_SMALL), "extended")
     assert "Subquery" in plan and "regexp_extract_all" in plan
+
+
+def test_every_query_compiles_without_codegen_fallback(spark):
+    """Generated code must compile for every registered query (a failure
+    would otherwise fall back silently to interpreted evaluation)."""
+    old = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        for name, fn in sorted(entry.queries().items()):
+            fn(spark, SF_SMALL).collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", old)
