@@ -46,3 +46,29 @@ def undirected(edges: DataFrame, a: str = "user_id", b: str = "friend_id") -> Da
     both = F.array(F.struct(F.col(a).alias(a), F.col(b).alias(b)),
                    F.struct(F.col(b).alias(a), F.col(a).alias(b)))
     return edges.select(F.explode(both).alias("_e")).select(f"_e.{a}", f"_e.{b}")
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows (one partial aggregate).  At
+    most ``rows / min_rows`` keys qualify, so the result is small."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= min_rows).select(key))
+
+
+def salted_join(heavy: DataFrame, light: DataFrame, key: str, hot: DataFrame,
+                buckets: int, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` that splits hot keys over ``buckets`` tasks
+    without relying on AQE: rows of ``heavy`` with a hot key get a salt from
+    a hash of the row, rows of ``light`` with a hot key are replicated once
+    per salt; other keys keep salt 0.  The hot-key list is broadcast after a
+    row check.  Equivalent to ``heavy.join(light, key, how)`` for ``inner``
+    and ``left`` (heavy preserved)."""
+    hot_b = bounded_broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    h = heavy.join(hot_b, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in heavy.columns]),
+                                              F.lit(buckets))).otherwise(F.lit(0)))
+    zero = F.lit(0).cast("long")
+    salts = F.when(F.col("_hot"), F.sequence(zero, F.lit(buckets - 1).cast("long"))) \
+        .otherwise(F.array(zero))
+    lt = light.join(hot_b, key, "left").withColumn("_salt", F.explode(salts))
+    return (h.drop("_hot").join(lt.drop("_hot"), [key, "_salt"], how).drop("_salt"))

@@ -117,3 +117,22 @@ def test_q2_under_skew(spark, skew_conf, broadcast_max_rows):
                   r["rank_in_user"]) for r in
                  q2.recommendations(e, f, p, broadcast_max_rows=broadcast_max_rows).collect())
     assert got == _brute_q2(edges, events)
+
+
+def test_q1_salted_without_aqe(spark):
+    """Explicit salting gives the same result with AQE switched off."""
+    edges, msgs, _ = _data()
+    m = spark.createDataFrame(msgs, "campaign_id string, message_type string, user_id string, "
+                                    "is_purchased boolean")
+    c = spark.createDataFrame([(str(y), "email", "mail", None) for y in (2000, 2001, 2002)],
+                              "campaign_id string, campaign_type string, channel string, topic string")
+    f = spark.createDataFrame(edges, "user_id string, friend_id string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = q1.campaign_conversion(m, c, f, top_n=None, salt_buckets=8, hot_min_rows=20)
+        got = {(r["campaign_id"], r["message_type"]): (r["recipients"], r["purchasers"],
+                                                       r["social_purchasers"]) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert got == _brute_q1(edges, msgs)
