@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Runs each headline query once to warm up, then ``BENCH_RUNS`` (default 3)
+Runs each headline query once to warm up, then ``BENCH_RUNS`` (default 5)
 timed runs that execute the whole plan and fetch the result; reports the
 median per query and their sum as ONE JSON line.
 """
@@ -36,7 +36,7 @@ EXTRA = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     reg = queries()
