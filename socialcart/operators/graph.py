@@ -152,11 +152,15 @@ def campaign_helper_edges(has_client: DataFrame, messages: DataFrame) -> DataFra
     """(user_id, campaign_key, purchased) for every user reached over
     user → client → message → campaign; ``purchased`` = any of those
     messages was purchased.  ``received`` = all rows, ``purchased`` = rows
-    with the flag — one aggregate gives both helper edge sets."""
-    m = messages.where(F.col("client_id").isNotNull()).select(
-        "client_id", campaign_key(messages).alias("campaign_key"),
-        F.coalesce(F.col("is_purchased"), F.lit(False)).alias("p"))
-    return (has_client.join(m, "client_id")
+    with the flag — one aggregate gives both helper edge sets.
+
+    Messages are first folded per (client, campaign) (partial aggregation),
+    so the join with the client's users never pairs individual messages
+    with users: its size is bounded by the distinct campaigns per client."""
+    per_client = (messages.where(F.col("client_id").isNotNull())
+                  .groupBy("client_id", campaign_key(messages).alias("campaign_key"))
+                  .agg(F.bool_or(F.coalesce(F.col("is_purchased"), F.lit(False))).alias("p")))
+    return (has_client.join(per_client, "client_id")
             .groupBy("user_id", "campaign_key").agg(F.bool_or("p").alias("purchased")))
 
 
