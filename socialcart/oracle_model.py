@@ -198,6 +198,11 @@ FROM clients_v WHERE user_id IS NOT NULL GROUP BY user_id"""
     q["client_device"] = base + f""",
 dev AS ({_first_by('user_device_id', 'row_ord', 'client_id', 'clients_v', last=True)})
 SELECT d.client_id, d.user_device_id, f.first_purchase_date
+FROM dev d JOIN (SELECT client_id, min(first_purchase_date) AS first_purchase_date
+                 FROM clients_v GROUP BY client_id) f ON f.client_id = d.client_id"""
+    q["client_device_first"] = base + f""",
+dev AS ({_first_by('user_device_id', 'row_ord', 'client_id', 'clients_v', last=False)})
+SELECT d.client_id, d.user_device_id, f.first_purchase_date
 FROM dev d JOIN (SELECT client_id, min(first_purchase_date) AS first_purchase_date
                  FROM clients_v GROUP BY client_id) f ON f.client_id = d.client_id"""
     q["has_client_edges"] = base + "," + _HELPERS + "\nSELECT user_id, client_id FROM has_client"

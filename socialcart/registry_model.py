@@ -111,6 +111,10 @@ def client_device(spark, d):
     return G.client_nodes(tv.clients(spark, d), "row_ord", last=True)
 
 
+def client_device_first(spark, d):
+    return G.client_nodes(tv.clients(spark, d), "row_ord", last=False)
+
+
 def has_client_edges(spark, d):
     return G.has_client_edges(tv.clients(spark, d), tv.messages(spark, d))
 
@@ -261,6 +265,7 @@ QUERIES = {
     "products_dim": products_dim,
     "first_purchase": first_purchase,
     "client_device": client_device,
+    "client_device_first": client_device_first,
     "has_client_edges": has_client_edges,
     "graph_products": graph_products,
     "graph_categories": graph_categories,
