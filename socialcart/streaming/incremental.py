@@ -11,9 +11,11 @@ them one after another as upserts.  Here:
                        appended to a change log under ``batch_id=<n>``
                        (overwrite of that one folder, so a retried batch is
                        idempotent) and progress is kept in the checkpoint;
-* ``current_state``  – merge-on-read: the latest row per key over the whole
-                       log, one ``max_by`` aggregate (partial aggregation
-                       first, so hot keys are combined before the shuffle).
+* ``current_state``  – merge-on-read: the latest row per key over the newest
+                       compacted base plus later log batches, one ``max_by``
+                       aggregate (partial aggregation first, so hot keys are
+                       combined before the shuffle);
+* ``compact``        – writes the current state as a new versioned base.
 
 No micro-batch rewrites the stored table, so batch cost stays proportional
 to the batch, not to the table.
@@ -21,6 +23,7 @@ to the batch, not to the table.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,14 +54,53 @@ def load_increments(spark: SparkSession, source: str, schema, log_dir: str,
     return len(q.recentProgress)
 
 
-def current_state(spark: SparkSession, log_dir: str, key: list[str], order: str) -> DataFrame:
-    """Latest row per ``key`` by ``order`` over the change log."""
-    log = spark.read.parquet(log_dir).drop("batch_id")
-    rest = [c for c in log.columns if c not in key]
-    latest = log.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
+def _latest_base(spark: SparkSession, base_dir: str | None):
+    """(rows of the newest compacted base, last batch it covers) or (None, -1)."""
+    if not base_dir:
+        return None, -1
+    try:
+        bases = spark.read.parquet(base_dir)
+    except Exception:  # noqa: BLE001 - no compaction written yet
+        return None, -1
+    # the newest version from the partition paths of the file index
+    # (file metadata only, no data scan)
+    versions = [int(m.group(1)) for f in bases.inputFiles()
+                if (m := re.search(r"/upto=(\d+)/", f))]
+    if not versions:
+        return None, -1
+    upto = max(versions)
+    return bases.where(F.col("upto") == upto).drop("upto"), int(upto)
+
+
+def current_state(spark: SparkSession, log_dir: str, key: list[str], order: str,
+                  base_dir: str | None = None) -> DataFrame:
+    """Latest row per ``key`` by ``order``: the newest compacted base (if
+    any) plus only the log batches written after it — partition pruning on
+    ``upto`` and ``batch_id`` keeps reads proportional to the state plus
+    the recent changes, not to the whole history."""
+    base, upto = _latest_base(spark, base_dir)
+    log = spark.read.parquet(log_dir)
+    rows = log.where(F.col("batch_id") > upto).drop("batch_id")
+    if base is not None:
+        rows = base.select(*rows.columns).unionByName(rows)
+    rest = [c for c in rows.columns if c not in key]
+    latest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
     return latest.select(*key, "_r.*")
 
 
+def compact(spark: SparkSession, log_dir: str, key: list[str], order: str, base_dir: str) -> int:
+    """Write the current state as a new base ``upto=<last batch>`` and return
+    that batch id; later reads skip every log batch it covers.  Earlier
+    bases and log batches stay in place (readers never see a half-written
+    state; removing old versions is a separate retention step)."""
+    upto = spark.read.parquet(log_dir).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return -1
+    state = current_state(spark, log_dir, key, order, base_dir)
+    state.write.mode("overwrite").parquet(f"{base_dir}/upto={int(upto)}")
+    return int(upto)
+
+
 def incremental_upsert(spark: SparkSession, rows: DataFrame, key: list[str], order: str,
                        rows_per_chunk: int = 2_000, files_per_batch: int = 2) -> DataFrame:
     """S12 end to end: chunk ``rows`` into the shared checkpoint folder, apply

@@ -21,3 +21,21 @@ def test_chunks_applied_as_upserts(spark, tmp_dir):
                         os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "ckpt"))
     again = inc.current_state(spark, os.path.join(tmp_dir, "log"), ["key"], "ord")
     assert again.count() == 50
+
+
+def test_compaction_then_more_chunks(spark, tmp_dir):
+    schema = "key long, ord long, val string"
+    first = spark.createDataFrame([(k % 30, k, f"a{k}") for k in range(300)], schema)
+    log, base = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "base")
+    inc.write_chunks(first, os.path.join(tmp_dir, "src"), rows_per_chunk=50)
+    inc.load_increments(spark, os.path.join(tmp_dir, "src"), first.schema, log,
+                        os.path.join(tmp_dir, "ckpt"), files_per_batch=2)
+    upto = inc.compact(spark, log, ["key"], "ord", base)
+    assert upto >= 1
+    more = spark.createDataFrame([(k % 30, 1000 + k, f"b{k}") for k in range(10)], schema)
+    more.write.mode("append").parquet(os.path.join(tmp_dir, "src"))
+    inc.load_increments(spark, os.path.join(tmp_dir, "src"), first.schema, log,
+                        os.path.join(tmp_dir, "ckpt"))
+    state = {r["key"]: r["val"] for r in inc.current_state(spark, log, ["key"], "ord", base).collect()}
+    full = {r["key"]: r["val"] for r in inc.current_state(spark, log, ["key"], "ord").collect()}
+    assert state == full and state[0] == "b0" and state[29] == "a299"
