@@ -133,3 +133,63 @@ def write_tables(tables: dict[str, DataFrame], out_dir: str) -> None:
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     names = ("users", "clients", "products", "events", "campaigns", "messages", "friends")
     return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+
+
+# The nested groups of the document form of messages.
+CAMPAIGN_REF = ("campaign_id", "message_type", "campaign_key")
+ENGAGEMENT = tuple(f"is_{c}" for c in MESSAGE_FLAGS) + tuple(
+    c for c in MESSAGE_TIMES if c not in ("created_at", "updated_at"))
+
+
+def build_document(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Document form (C18–C19): messages with nested ``campaign_ref`` and
+    ``engagement``, products with a lower-cased search text, events carrying
+    the product attributes (products are a dimension: the join is planned by
+    Spark, broadcast when small)."""
+    m = t["messages"].withColumn(
+        "campaign_key", TY.composite_key(F.col("campaign_id"), F.col("message_type")))
+    groups = {"campaign_ref": [c for c in CAMPAIGN_REF if c in m.columns],
+              "engagement": [c for c in ENGAGEMENT if c in m.columns]}
+    products = t["products"].withColumn(
+        "category_search_text", TY.search_text(F.col("category_code"), F.col("brand")))
+    events = t["events"].join(t["products"], "product_id", "left")
+    return {"messages": TY.nest(m, groups), "products": products, "events": events,
+            "users": t["users"], "clients": t["clients"], "campaigns": t["campaigns"],
+            "friendships": t["friends"]}
+
+
+def build_graph(t: dict[str, DataFrame], events_raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Graph form (D09–D18) as node and edge tables from the typed tables;
+    ``events_raw`` (cleaned text with category columns) feeds the category
+    nodes when given."""
+    from socialcart.operators import graph as G
+
+    ev = t["events"]
+    cat_src = events_raw.select(_t("product_id").alias("product_id"),
+                                _t("category_id").alias("category_id"),
+                                _t("category_code").alias("category_code"),
+                                _t("brand").alias("brand"),
+                                F.monotonically_increasing_id().alias("_ord")) \
+        if events_raw is not None else \
+        t["products"].withColumn("_ord", F.monotonically_increasing_id())
+    products = G.product_nodes(cat_src, "_ord")
+    categories = G.category_nodes(cat_src, "_ord")
+    has_client = G.has_client_edges(t["clients"], t["messages"])
+    helpers = G.campaign_helper_edges(has_client, t["messages"])
+    return {
+        "g_user": G.user_first_purchase(t["clients"]).join(t["users"], "user_id", "right")
+        .select("user_id", F.coalesce("has_first_purchase", F.lit(False)).alias("has_first_purchase"),
+                "first_purchase_date"),
+        "g_product": products, "g_category": categories,
+        "e_has_client": has_client,
+        "e_in_category": G.in_category_edges(cat_src, products, categories),
+        "e_event": G.event_edges(ev),
+        "e_received": G.received_edges(t["messages"]),
+        "e_belongs_to": G.belongs_to_edges(t["messages"]),
+        "g_campaign": G.campaign_nodes(t["campaigns"], G.belongs_to_edges(t["messages"])),
+        "e_friend_of": G.friend_of_edges(
+            t["friends"].select(F.col("user_id").alias("friend1"), F.col("friend_id").alias("friend2")),
+            t["users"]),
+        "e_received_campaign": helpers.select("user_id", "campaign_key"),
+        "e_purchased_campaign": helpers.where("purchased").select("user_id", "campaign_key"),
+    }

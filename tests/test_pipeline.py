@@ -71,6 +71,19 @@ def test_end_to_end(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     meta = results.write_result(q["q1"](), os.path.join(out, "q1"), "q1")
     assert meta["row_count"] == 1
+    from socialcart.plans.load import build_document, build_graph
+    doc = build_document(t)
+    m1 = doc["messages"].where("row_id = 'r1'").first()
+    assert m1["campaign_ref"]["campaign_key"] == "1|bulk" and m1["engagement"]["is_purchased"] is True
+    assert doc["products"].where("product_id = 'p1'").first()["category_search_text"] == \
+        "electronics.smartphone apple"
+    g = build_graph(t, read_cleaned(spark, clean)["events"])
+    assert {r["etype"] for r in g["e_event"].collect()} == {"VIEWED", "CARTED", "PURCHASED"}
+    # the graph keeps the message of unknown campaign 9 (stub campaign, M4)
+    assert g["e_received_campaign"].count() == 4 and g["e_purchased_campaign"].count() == 3
+    assert g["g_campaign"].where("campaign_key = '9|bulk'").count() == 1
+    assert g["g_category"].count() == 3 and g["e_in_category"].count() == 4
+    assert g["g_user"].where("has_first_purchase").count() == 1
 
 
 def test_cli_load_and_analyze(spark, tmp_dir):
