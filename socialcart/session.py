@@ -54,7 +54,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered, so ``DataFrame.checkpoint()`` and streaming checkpoints work.
     """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()  # set from spark.checkpoint.dir at start-up
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         # local runs only: a scratch folder of our own
         path = tempfile.mkdtemp(prefix="socialcart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
