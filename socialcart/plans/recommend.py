@@ -10,15 +10,19 @@ with category code and brand when the product is known.
 Plan shape:
 
 * targets: partial aggregate + ``TakeOrderedAndProject`` → at most
-  ``n_targets`` rows, broadcast (bound proven by the limit).
-* the edge table is scanned once, broadcast-joined to the targets (no shuffle
-  of the edges).
-* users of interest = targets ∪ their friends, broadcast after a checked
-  row bound; events are semi-joined to it in the scan stage and
-  **pre-aggregated per (user, product)** before any shuffle, so the event
-  fact is never shuffled row by row.
-* the per-(user, product) aggregate feeds both the candidate scores and the
-  own-product exclusion through one join and one aggregate (one event pass).
+  ``n_targets`` rows, broadcast (bound proven by the limit), persisted so
+  every branch shares one computation.
+* the edge table is scanned once, broadcast-joined to the targets (no
+  shuffle of the edges).
+* roles = (target, friend, self=false) ∪ (target, target, self=true),
+  broadcast after a row check (persisted, so the check and the query share
+  one computation).  The event scan joins them map-side — filter to users
+  of interest and fan-out to their targets in one step — and partial
+  aggregation per (target, product) combines the rows before the one
+  shuffle of event data.  Above the bound, events are semi-joined and
+  folded per (user, product) first, then shuffle-joined.
+* the same aggregate gives the friend score, the interaction count and the
+  own-product flag (NOT EXISTS without a second pass over the events).
 * per-target top-k is ``row_number() <= k`` → ``WindowGroupLimit`` runs
   before the shuffle, so at most k rows per target and map task move.
 * product attributes: products are semi-joined to the (≤ targets × k)
