@@ -1,4 +1,4 @@
-"""Join helpers: bounded broadcast, undirected edges."""
+"""Join helpers: row-checked broadcast, undirected edges, hot-key salting."""
 
 from __future__ import annotations
 
@@ -14,10 +14,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
-    The check is one short job (``limit(max_rows + 1).count()``) that stops
-    reading as soon as the bound is exceeded.  Above the bound the frame is
-    returned unchanged and Spark picks a shuffle join (sort-merge or
-    shuffled hash, with AQE skew splitting).
+    The check is one job, ``limit(max_rows + 1).count()``: each partition
+    stops after ``max_rows + 1`` rows, though the work upstream of ``df``
+    (scans, aggregates) still runs.  Above the bound the frame is returned
+    unchanged and Spark picks a shuffle join (sort-merge or shuffled hash,
+    with AQE skew splitting).
     """
     return checked_broadcast(df, max_rows)[0]
 
