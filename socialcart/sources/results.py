@@ -44,9 +44,10 @@ def result_summary(spark: SparkSession, summary_paths: list[str], databases: lis
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds at least one JSON file (file listing only)."""
     try:
-        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-        return True
+        return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+                    .load(path).select("path").limit(1).collect())
     except Exception:  # noqa: BLE001 - a missing path is the expected case
         return False
 

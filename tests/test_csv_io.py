@@ -83,8 +83,10 @@ def test_result_json_and_summary(spark, tmp_dir):
     df = spark.range(7).withColumnRenamed("id", "n")
     meta = results.write_result(df, os.path.join(tmp_dir, "q1"), "q1")
     assert meta["row_count"] == 7
+    os.makedirs(os.path.join(tmp_dir, "empty", "summary"))
     summary = results.result_summary(spark, [os.path.join(tmp_dir, "q1", "summary"),
-                                             os.path.join(tmp_dir, "missing", "summary")],
+                                             os.path.join(tmp_dir, "missing", "summary"),
+                                             os.path.join(tmp_dir, "empty", "summary")],
                                      ["spark", "other"], ["q1", "q2"])
     got = {(r["database"], r["query"]): r["row_count"] for r in summary.collect()}
     assert got[("spark", "q1")] == 7 and got[("spark", "q2")] is None and len(got) == 4
