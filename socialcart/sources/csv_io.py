@@ -29,7 +29,8 @@ LFS_PREFIX = "version https://git-lfs"
 def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     """Every ``*.csv`` under ``root`` (recursive), sorted.  Only the
     ``path`` column of the ``binaryFile`` source is read, so file contents
-    are never loaded; the result is the file list (metadata), not data."""
+    are never loaded; the result is the file list (metadata), not data.
+    Zero-length files hold no rows and are not listed."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.csv").load(root).select("path"))
     return sorted(r["path"] for r in files.collect())
@@ -81,6 +82,8 @@ def clean_csv(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet
     """Clean one table, overwrite ``out_path``; returns
     ``{"kept", "skipped_empty", "skipped_malformed"}`` measured during the
     write itself."""
+    if not _header(spark, path):  # an empty file: nothing to clean, nothing written
+        return {"kept": 0, "skipped_empty": 0, "skipped_malformed": 0}
     raw = read_text_table(spark, path, multiline)
     data_cols = [c for c in raw.columns if c != "_malformed"]
     obs = Observation("ingest")

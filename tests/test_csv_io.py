@@ -99,3 +99,13 @@ def test_timings_csv(spark, tmp_dir):
     df = results.write_timings(spark, [("q1", 1, 12.34567, "spark"), ("q1", 2, 10.0, "spark")],
                                os.path.join(tmp_dir, "t"))
     assert [r["execution_time_ms"] for r in df.collect()] == [12.346, 10.0]
+
+
+def test_empty_file_counts_zero(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "raw", "empty.csv")
+    _write(src, "")
+    m = {r["file"]: r for r in csv_io.clean_csv_tree(spark, os.path.join(tmp_dir, "raw"),
+                                                     os.path.join(tmp_dir, "out")).collect()}
+    assert m["TOTAL"]["kept"] == 0  # zero-length files hold no rows and are not listed
+    assert csv_io.clean_csv(spark, src, os.path.join(tmp_dir, "o2")) == \
+        {"kept": 0, "skipped_empty": 0, "skipped_malformed": 0}
