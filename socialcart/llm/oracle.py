@@ -12,6 +12,20 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
 FROM t
 """
 
+OP8 = """
+WITH t AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+u AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+            ELSE page_id END AS first_id
+  FROM t)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM u
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2}
+    return {"op2_exact_dedup": OP2, "op8_warc": OP8}
