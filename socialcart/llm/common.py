@@ -3,13 +3,17 @@ the ASCII text rules that the operators agree on."""
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialcart.session import checkpoint_root
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # Fixed value: the white space that separates words and is collapsed, as a
 # Java regular-expression class (bytes 0x20 and 0x09 to 0x0D).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -22,6 +26,21 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where
+    the driver has it (on a cluster, ship it with ``--py-files``)."""
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in known:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` on workers that find this package."""
+    find_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: the lineage is cut, lost executors lose nothing, and the table's

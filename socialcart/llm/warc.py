@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from socialcart.session import checkpoint_root
 
-from .common import join_by_key, scratch_table
+from .common import join_by_key, map_arrow, scratch_table
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 30_000
@@ -188,7 +188,7 @@ def read_records(spark: SparkSession, path: str, keep_payload: bool = True) -> D
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(read, RECORD_SCHEMA)
+    return map_arrow(files, read, RECORD_SCHEMA)
 
 
 def assemble(records: DataFrame) -> DataFrame:
