@@ -6,8 +6,8 @@ keeps a row out of the shuffle as soon as one of its bits is not set: such a
 row is alone with its text.  Only the rows that the filter lets through are
 grouped by their SHA-256 and settled exactly; the rest pass straight through.
 
-The filter is made of 64-bit words; a row's bits lie in one word, so a row
-probes it with one broadcast lookup.  Its size follows the number of rows up
+The filter is a table of 64-bit words (see ``bloom``) that rows probe with
+one broadcast lookup.  Its size follows the number of rows up
 to ``max_words``, which bounds what is broadcast (2**21 words, 16 bytes each
 as a table).  Beyond ``max_words`` it fills up and lets more unique rows
 through: they shuffle (narrow rows: id and digest) and the result is the same.
@@ -21,60 +21,18 @@ columns, whatever their names, are not looked at.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import MAX_WORDS, fill, filter_words, probe
 from .common import collapse_space, join_by_key, scratch_table
 
-BITS_PER_ROW = 16
-PROBES = 3
-MAX_WORDS = 2 ** 21
-
 
 def digest(text: Column) -> Column:
     """SHA-256 (32 bytes) of the text with white space collapsed."""
     return F.unhex(F.sha2(collapse_space(text).cast("binary"), 256))
 
 
-def _word(sha: Column, words: int) -> Column:
-    return F.pmod(F.xxhash64(sha), F.lit(words))
-
-
-def _bits(sha: Column) -> list[Column]:
-    """The bit numbers of a digest inside its word: PROBES six-bit slices of
-    a second hash."""
-    h = F.xxhash64(sha, F.lit(1))
-    return [F.shiftright(h, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(PROBES)]
-
-
-def filter_words(rows: int, bits_per_row: int = BITS_PER_ROW, max_words: int = MAX_WORDS) -> int:
-    return min(max_words, 2 ** max(4, math.ceil(math.log2(max(1, rows * bits_per_row / 64)))))
-
-
-def repeat_filter(digests: DataFrame, words: int, sha: str = "sha") -> DataFrame:
-    """Pass 1: (word, bits), where a bit is set if two rows or more hit it.
-    Hits are counted per (word, bit) with partial aggregation."""
-    hits = digests.select(_word(F.col(sha), words).alias("word"),
-                          F.explode(F.array_distinct(F.array(*_bits(F.col(sha))))).alias("bit"))
-    twice = hits.groupBy("word", "bit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return twice.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-
-
-def flag_possible(rows: DataFrame, repeats: DataFrame, words: int, sha: str = "sha") -> DataFrame:
-    """Pass 2: ``rows`` with a boolean ``_possible``: all bits of the digest
-    are set, so another row may have it."""
-    mask = F.lit(0).cast("long")
-    for b in _bits(F.col(sha)):
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))
-    table = F.broadcast(repeats.select(F.col("word").alias("_w"), F.col("bits").alias("_b")))
-    out = rows.withColumn("_word", _word(F.col(sha), words)).withColumn("_mask", mask)
-    out = out.join(table, F.col("_word") == F.col("_w"), "left")
-    hit = F.coalesce(F.col("_b").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
-    return out.select(*[F.col(c) for c in rows.columns], hit.alias("_possible"))
-
-
 def label_copies(digests: DataFrame, id_col: str = "doc_id", sha: str = "sha",
                  max_words: int = MAX_WORDS) -> DataFrame:
     """(rid, id, sha) → the same rows with ``keep_id``, ``group_size`` and
@@ -82,7 +40,7 @@ def label_copies(digests: DataFrame, id_col: str = "doc_id", sha: str = "sha",
     ``rid`` tells its rows apart."""
     total = digests.count()
     words = filter_words(total, max_words=max_words)
-    flagged = flag_possible(digests, repeat_filter(digests, words, sha), words, sha)
+    flagged = probe(digests, fill(digests, sha, words, least=2), sha, words)
     alone = flagged.where(~F.col("_possible")).select(
         "rid", id_col, sha, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"))
@@ -119,7 +77,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words = filter_words(docs.count())
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
                          F.col(text_col).alias("text"), digest(F.col(text_col)).alias("sha"))
-    flagged = flag_possible(packed, scratch_table(repeat_filter(digests, words), "repeats"), words)
+    flagged = probe(packed, scratch_table(fill(digests, "sha", words, least=2), "repeats"), "sha", words)
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("text"))
     settled = flagged.where("_possible").groupBy("sha").agg(F.min_by("row", order).alias("row"))
     return flagged.where(~F.col("_possible")).select("row.*").unionByName(settled.select("row.*"))

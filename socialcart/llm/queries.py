@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import load
 from .exact_dedup import exact_copies
+from .near_dedup import near_copies
 from .packing import pack
 from .warc import archive_round_trip
 
@@ -20,10 +21,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(load(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(load(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op8_warc]
+    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc]
     return {f.__name__: f for f in ops}
