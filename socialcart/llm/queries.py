@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import load
+from .decontamination import leaks
 from .exact_dedup import exact_copies
 from .near_dedup import near_copies
 from .packing import pack
@@ -29,6 +30,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(load(spark, sf_dir, "pages"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc]
+    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc, op9_decontamination]
     return {f.__name__: f for f in ops}
