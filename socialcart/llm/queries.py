@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import load
 from .decontamination import leaks
 from .exact_dedup import exact_copies
+from .language_id import identify
 from .near_dedup import near_copies
 from .packing import pack
 from .warc import archive_round_trip
@@ -34,6 +35,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc, op9_decontamination]
+    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
     return {f.__name__: f for f in ops}
