@@ -10,6 +10,7 @@ from .common import load
 from .decontamination import leaks
 from .exact_dedup import exact_copies
 from .language_id import identify
+from .lm_scoring import score
 from .near_dedup import near_copies
 from .packing import pack
 from .warc import archive_round_trip
@@ -23,6 +24,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(load(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(load(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -40,5 +45,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
+    ops = [op2_exact_dedup, op3_packing, op6_lm_scoring, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
     return {f.__name__: f for f in ops}
