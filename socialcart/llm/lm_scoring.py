@@ -109,7 +109,7 @@ def code(docs: DataFrame, segments: int) -> DataFrame:
         for batch in batches:
             for doc_id, out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
-                for w in set(words) - number.keys():
+                for w in [w for w in set(words) if w not in number]:
                     number[w] = len(number)
                 held.append((doc_id, out, np.fromiter(map(number.__getitem__, words), np.uint32, len(words))))
                 size += len(words)

@@ -35,7 +35,7 @@ class WordHasher:
         cache = self.cache
         if len(cache) > self.cache_words:
             cache.clear()
-        for w in set(words) - cache.keys():
+        for w in [w for w in set(words) if w not in cache]:
             cache[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 

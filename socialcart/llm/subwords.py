@@ -124,7 +124,7 @@ class Scorer:
         if len(self.number) > self.cache_words:
             self._clear()
         words = [words_of(t) for t in texts]
-        new = sorted(set().union(*words) - self.number.keys())
+        new = sorted(w for w in set().union(*words) if w not in self.number)
         if new:
             self._learn(new)
         out = np.zeros((len(texts), self.sums.shape[1]))
