@@ -13,6 +13,7 @@ from .language_id import identify
 from .lm_scoring import score
 from .near_dedup import near_copies
 from .packing import pack
+from .quality import classify
 from .warc import archive_round_trip
 
 
@@ -24,6 +25,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(load(spark, sf_dir, "documents"))
 
@@ -45,5 +50,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op6_lm_scoring, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
+    ops = [op2_exact_dedup, op3_packing, op4_quality, op6_lm_scoring, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
     return {f.__name__: f for f in ops}
