@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_formatting import format_conversations
 from .common import load
 from .decontamination import leaks
 from .exact_dedup import exact_copies
+from .html_extraction import extract
 from .language_id import identify
 from .lm_scoring import score
 from .near_dedup import near_copies
@@ -17,6 +19,10 @@ from .quality import classify
 from .warc import archive_round_trip
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(load(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(load(spark, sf_dir, "documents"))
 
@@ -29,6 +35,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_conversations(load(spark, sf_dir, "conversations"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(load(spark, sf_dir, "documents"))
 
@@ -50,5 +60,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_exact_dedup, op3_packing, op4_quality, op6_lm_scoring, op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
+    ops = [op1_html_extraction, op2_exact_dedup, op3_packing, op4_quality, op5_chat_formatting, op6_lm_scoring,
+           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
     return {f.__name__: f for f in ops}
