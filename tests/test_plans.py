@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from socialcart import registry
 from tests.conftest import SF_SMALL
 
 NESTED_LOOP_OK: set[str] = set()
@@ -18,16 +18,16 @@ def _plan(df, mode="formatted"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cartesian_products(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL), "extended")
+    plan = _plan(registry.queries()[name](spark, SF_SMALL), "extended")
     assert "CartesianProduct" not in plan
     if name not in NESTED_LOOP_OK:
         assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_q2_reads_only_needed_event_columns_and_limits_before_shuffle(spark):
-    plan = _plan(entry.queries()["q2_recommendations"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["q2_recommendations"](spark, SF_SMALL))
     scans = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "event_id" not in ln
              and "props" in ln]
     assert scans, plan
@@ -37,20 +37,20 @@ def test_q2_reads_only_needed_event_columns_and_limits_before_shuffle(spark):
 
 
 def test_q1_scans_prune_columns(spark):
-    plan = _plan(entry.queries()["q1_campaign_conversion"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["q1_campaign_conversion"](spark, SF_SMALL))
     orders = [ln for ln in plan.splitlines() if "ReadSchema: struct<o_" in ln]
     assert orders and all("o_totalprice" not in ln for ln in orders)
 
 
 def test_best_row_is_an_aggregate_not_a_sort(spark):
-    plan = _plan(entry.queries()["clients_dim"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["clients_dim"](spark, SF_SMALL))
     assert "min_by" in plan and "Window" not in plan
-    plan = _plan(entry.queries()["typed_campaigns"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["typed_campaigns"](spark, SF_SMALL))
     assert "max_by" in plan and "Window" not in plan
 
 
 def test_token_search_extracts_only_keyword_occurrences(spark):
-    plan = _plan(entry.queries()["doc_token_search"](spark, SF_SMALL), "extended")
+    plan = _plan(registry.queries()["doc_token_search"](spark, SF_SMALL), "extended")
     assert "Subquery" in plan and "regexp_extract_all" in plan
 
 
@@ -60,7 +60,7 @@ def test_every_query_compiles_without_codegen_fallback(spark):
     old = spark.conf.get("spark.sql.codegen.fallback")
     spark.conf.set("spark.sql.codegen.fallback", "false")
     try:
-        for name, fn in sorted(entry.queries().items()):
+        for name, fn in sorted(registry.queries().items()):
             fn(spark, SF_SMALL).collect()
     finally:
         spark.conf.set("spark.sql.codegen.fallback", old)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from socialcart import oracle_sql, registry
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -38,15 +39,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(registry.queries()) - set(oracle_sql.oracle())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     srows = df.collect()
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(oracle_sql.oracle()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, srows) == _rows(dcols, res.fetchall())
@@ -59,7 +60,7 @@ def test_partition_count_does_not_change_results(spark, name):
     try:
         for n in ("1", "7", "200"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            df = entry.queries()[name](spark, SF_SMALL)
+            df = registry.queries()[name](spark, SF_SMALL)
             out.append(_rows(df.columns, df.collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -67,7 +68,7 @@ def test_partition_count_does_not_change_results(spark, name):
 
 
 def test_q1_variants_agree_except_empty_shares(spark):
-    q = entry.queries()
+    q = registry.queries()
     rel = {(r["campaign_id"], r["message_type"]): r.asDict()
            for r in q["q1_campaign_conversion"](spark, SF_SMALL).collect()}
     doc = {(r["campaign_id"], r["message_type"]): r.asDict()
@@ -83,3 +84,8 @@ def test_q1_variants_agree_except_empty_shares(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+def test_entry_registers_the_library_and_its_oracles():
+    assert registry.queries().keys() <= entry.queries().keys()
+    assert oracle_sql.oracle().keys() <= entry.oracle_sql().keys()

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from socialcart import registry
 from socialcart.plans import sql as S
 from socialcart.sources import testviews as tv
 from tests.conftest import SF_SMALL
@@ -21,7 +21,7 @@ def views(spark):
                                          ("q3", "q3_token_search")])
 def test_sql_matches_dataframe(spark, views, name, query):
     got = S.run(spark, name)
-    want = entry.queries()[query](spark, SF_SMALL)
+    want = registry.queries()[query](spark, SF_SMALL)
     assert sorted(got.columns) == sorted(want.columns)
     cols = sorted(want.columns)
     assert [tuple(r[c] for c in cols) for r in got.collect()] == \
