@@ -26,19 +26,66 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
+        self.word_end = self._word_ends()
         self.cache: dict[bytes, bytes] = {}
         self.cache_chunks = cache_chunks
 
+    def _word_ends(self) -> np.ndarray | None:
+        """Which ids end a word, if the vocabulary marks word ends."""
+        vocab = self.tokenizer.get_vocab()
+        out = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        out[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        return out if out.any() else None
+
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
         chunks = [t.split() for t in texts]  # ASCII white space; the tokenizer sees the rest
         if len(self.cache) > self.cache_chunks:
             self.cache.clear()
-        new = list(set().union(*chunks) - self.cache.keys())
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        self.cache.update((c, np.array(e.ids, self.dtype).tobytes()) for c, e in zip(new, found, strict=True))
+        self._learn({c for c in set().union(*chunks) if c not in self.cache})
         get = self.cache.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 
+    def _learn(self, new: set[bytes]) -> None:
+        """Ids of new chunks.  A chunk is known by its lower-case form, unless
+        a special token may stand in it; a comma or full stop at its end, after
+        an ASCII letter or digit, is a piece of its own."""
+        forms = {c: c.lower() if b"<|" not in c else c for c in new}
+        ends = [f for f in forms.values() if f[-1:] in b",." and f[-2:-1].isalnum() and b"<|" not in f]
+        bodies = {f: f[:-1] for f in ends}
+        wanted = {bodies.get(f, f) for f in forms.values()} | {b",", b"."}
+        wanted = [w for w in wanted if w not in self.cache]
+        text = [w.decode() for w in wanted]
+        words = [t for t in text if t.isalpha()]
+        others = [t for t in text if not t.isalpha()]
+        self.cache.update(zip((w.encode() for w in words), self._words(words), strict=True))
+        self.cache.update(zip((t.encode() for t in others), self._each(others), strict=True))
+        for f, body in bodies.items():
+            self.cache[f] = self.cache[body] + self.cache[f[-1:]]
+        for c, f in forms.items():
+            self.cache[c] = self.cache[f]
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words made of letters only: many are encoded as one text and
+        told apart by the tokens that end a word."""
+        if self.word_end is None:
+            return self._each(words)
+        out, size = [], self.dtype.itemsize
+        joined = [" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)]
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            cuts = ((np.flatnonzero(self.word_end[ids]) + 1) * size).tolist()
+            some = words[1000 * i:1000 * (i + 1)]
+            if len(cuts) != len(some):
+                out += self._each(some)
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+        return out
+
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> ChunkEncoder:
