@@ -55,14 +55,17 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(buckets: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, classes: int, dim: int = 16,
-          epochs: int = 6, batch: int = 32, rate: float = 20.0, seed: int = 7) -> np.ndarray:
-    """Stochastic gradient descent on the cross-entropy; returns the logits
-    that each bucket contributes (embeddings times output weights)."""
+          epochs: int = 6, least_steps: int = 400, batch: int = 32, rate: float = 20.0, seed: int = 7) -> np.ndarray:
+    """Stochastic gradient descent on the cross-entropy, for ``epochs`` or
+    more (few documents: until ``least_steps``); returns the logits that each
+    bucket contributes (embeddings times output weights)."""
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, dim)).astype(np.float32)
     out = rng.normal(0, 0.1, (dim, classes)).astype(np.float32)
     usable = np.flatnonzero([len(b) > 0 for b in buckets])
-    steps = epochs * -(-len(usable) // batch)
+    each = -(-len(usable) // batch)
+    epochs = max(epochs, -(-least_steps // max(each, 1)))
+    steps = epochs * each
     step = 0
     for _ in range(epochs):
         order = rng.permutation(usable)
