@@ -174,7 +174,7 @@ def training_rows(pooled: DataFrame, labels: DataFrame, folds: int, held_out: in
     rows = (pooled.join(F.broadcast(sample), "doc_id").groupBy("doc_id")
             .agg(F.any_value("pooled").alias("pooled"), F.any_value("quality").alias("quality")).collect())
     rows.sort(key=lambda r: r.doc_id)
-    return np.array([r.pooled for r in rows], float).reshape(len(rows), -1), np.array([float(r.quality) for r in rows])
+    return np.array([r.pooled for r in rows], float).reshape(-1, 2 * DIM + 1), np.array([float(r.quality) for r in rows])
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = THRESHOLD,
