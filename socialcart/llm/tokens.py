@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterable
 
 import numpy as np
 
 CACHE_CHUNKS = 600_000
 
+_TAIL = re.compile(rb"(?<=[a-z0-9])([,.])(?=[\x20\x09-\x0D]|\Z)")
+
 
 class ChunkEncoder:
     """Texts as UTF-8 bytes → their ids as little-endian bytes (``dtype``)."""
@@ -38,31 +41,28 @@ class ChunkEncoder:
         return out if out.any() else None
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        chunks = [t.split() for t in texts]  # ASCII white space; the tokenizer sees the rest
+        chunks = [self._chunks(t) for t in texts]
         if len(self.cache) > self.cache_chunks:
             self.cache.clear()
-        self._learn({c for c in set().union(*chunks) if c not in self.cache})
-        get = self.cache.__getitem__
+        cache = self.cache
+        self._learn([c for c in set().union(*chunks) if c not in cache])
+        get = cache.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 
-    def _learn(self, new: set[bytes]) -> None:
-        """Ids of new chunks.  A chunk is known by its lower-case form, unless
-        a special token may stand in it; a comma or full stop at its end, after
-        an ASCII letter or digit, is a piece of its own."""
-        forms = {c: c.lower() if b"<|" not in c else c for c in new}
-        ends = [f for f in forms.values() if f[-1:] in b",." and f[-2:-1].isalnum() and b"<|" not in f]
-        bodies = {f: f[:-1] for f in ends}
-        wanted = {bodies.get(f, f) for f in forms.values()} | {b",", b"."}
-        wanted = [w for w in wanted if w not in self.cache]
-        text = [w.decode() for w in wanted]
-        words = [t for t in text if t.isalpha()]
-        others = [t for t in text if not t.isalpha()]
-        self.cache.update(zip((w.encode() for w in words), self._words(words), strict=True))
-        self.cache.update(zip((t.encode() for t in others), self._each(others), strict=True))
-        for f, body in bodies.items():
-            self.cache[f] = self.cache[body] + self.cache[f[-1:]]
-        for c, f in forms.items():
-            self.cache[c] = self.cache[f]
+    @staticmethod
+    def _chunks(text: bytes) -> list[bytes]:
+        """Chunks between ASCII white space, lower-cased, with a comma or full
+        stop after an ASCII letter or digit as a chunk of its own: none of
+        that changes the ids.  Texts that may hold a special token stay."""
+        return text.split() if b"<|" in text else _TAIL.sub(rb" \1", text.lower()).split()
+
+    def _learn(self, new: list[bytes]) -> None:
+        text = [c.decode() for c in new]
+        alone = [t.isalpha() for t in text]
+        words = [t for t, a in zip(text, alone, strict=True) if a]
+        others = [t for t, a in zip(text, alone, strict=True) if not a]
+        self.cache.update(zip((c for c, a in zip(new, alone, strict=True) if a), self._words(words), strict=True))
+        self.cache.update(zip((c for c, a in zip(new, alone, strict=True) if not a), self._each(others), strict=True))
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
