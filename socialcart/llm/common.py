@@ -78,9 +78,9 @@ def join_by_key(rows: DataFrame, table: DataFrame, key: str, count: str, total:
     hot = packed.where(F.col("_n") > least).select(F.col("_k").alias("_hk"), F.col("_t").alias("_ht"))
     cold = packed.where(F.col("_n") <= least).select("_k", "_t")
     out = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    # rows that are done get a key of their own that matches nothing, so they
-    # spread over all tasks
-    other = out.withColumn("_jk", F.when(F.col("_hk").isNull(), F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")))
+    # rows that are done, or have no key, get a key of their own that matches
+    # nothing, so they spread over all tasks
+    other = out.withColumn("_jk", F.when(F.col("_hk").isNull() & F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")))
                            .otherwise(F.struct(F.lit(None).cast(rows.schema[key].dataType).alias("k"),
                                                (F.monotonically_increasing_id() + 1).alias("s"))))
     cold = cold.withColumn("_ck", F.struct(F.col("_k").alias("k"), F.lit(0).cast("long").alias("s")))
