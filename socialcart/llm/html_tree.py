@@ -32,6 +32,7 @@ HIDDEN = frozenset("head script style template noscript noframes noembed iframe
                    "annotation annotation-xml meta link title".split())
 
 _ATTR = re.compile(r"""([^\s=/"'>][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_QUOTE = re.compile(r"""=\s*(["'])""")
 _TAG_NAME = re.compile(r"<[a-zA-Z][^\s/>]*")
 
 
@@ -62,10 +63,8 @@ def _tag_end(text: str, at: int) -> int:
         close = text.find(">", at)
         if close < 0:
             return -1
-        quote = None
-        for m in re.finditer(r"""=\s*(["'])""", text[at:close]):
-            quote = (m[1], at + m.end())
-            stop = text.find(m[1], quote[1])
+        for m in _QUOTE.finditer(text, at, close):
+            stop = text.find(m[1], m.end())
             if stop < 0:  # an open quote: the first '>' ends the tag
                 return close + 1
             if stop > close:
