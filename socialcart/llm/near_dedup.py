@@ -11,9 +11,11 @@
    4.9 deviations below).
 3. The others are confirmed on full sets, and components are formed.
 4. A star can miss a link between two members that are both too far from its
-   centre.  So in every band that still holds more than one component, each
-   member outside the centre's component is compared with the members of
-   other components, and components are formed once more.
+   centre.  So in every band that still holds more than one component, the
+   sketches of the members outside the centre's component are compared with
+   those of all other components, in blocks of bounded size; likely partners
+   are kept as a list for each such member, confirmed on full sets until one
+   member of a component is linked, and components are formed once more.
 
 A pair at similarity 0.75 shares no band with probability 5e-6.  Shingle sets
 are not stored: those of classes that occur in a pair are computed again from
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import fill, filter_words, probe
-from .common import join_by_key, map_arrow, scratch_table
+from .common import find_package, join_by_key, map_arrow, scratch_table
 from .components import components
 from .shingles import WIDTH, WordHasher, band_keys, overlap, shingle_hashes, sketches
 
@@ -44,6 +46,9 @@ ROWS = 4
 MIN_AGREE = 72
 PERCENT = 75
 BATCH_BYTES = 2_000_000
+BLOCK = 1024  # members of a band that are compared with as many others at once
+ROWS_A_CELL = 20_000
+CELL = 1000  # nodes whose shingle sets one task holds for confirmation
 
 _hashers: dict[str, WordHasher] = {}
 
@@ -151,53 +156,158 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both, run, "a long, b long")
 
 
-def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of all nodes in ``pairs``, computed from the texts of
-    the documents that stand for them."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the given nodes, computed from the texts of the
+    documents that stand for them."""
     wanted = scratch_table(classes.join(nodes, "node", "left_semi").select("node", "cls", "id"), "wanted")
     words = filter_words(wanted.count())
     key = wanted.select(F.coalesce("id", F.lit(0).cast("long")).alias("key"))
-    own = probe(docs.withColumn("key", F.coalesce("doc_id", F.lit(0).cast("long"))),
-                scratch_table(fill(key, "key", words), "ids"), "key", words)
+    own = probe(docs.withColumn("key", F.coalesce("doc_id", F.lit(0).cast("long"))), fill(key, "key", words), "key", words)
     sets = _shingle_sets(own.where("_possible"), width)
     found = sets.join(wanted.select("node", "cls"), "cls").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
     return scratch_table(found, "sets")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    min_agree = MIN_AGREE if percent == PERCENT else max(1, int(SIZE * percent / 100 - 24))
-    likely = scratch_table(_agreeing(pairs, classes, min_agree), "likely")
-    sets = _sets_of(likely, classes, docs, width)
-    return scratch_table(_confirmed(likely, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+def _blocks(n: str, size: int):
+    return F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(size))).cast("int")
+
+
+def _candidates(members: DataFrame, min_agree: int) -> DataFrame:
+    """Compares sketches inside the bands that are still open.
+
+    ``members``: (band, no, n, main, node, centre, component, sketch, cell).
+    Members outside the main component (x) meet all members but the centre
+    (y) in blocks of at most BLOCK by BLOCK; a pair that shares several bands
+    counts in the first one.  Returns a row (cell, x, ys) for each x and cell
+    with its likely partners there, best first, and a row (cell, null, ys) with
+    all likely partners of a cell; no row for a pair."""
+    spread = members.where("node <> centre").withColumn("_k", _blocks("n", BLOCK)).withColumn(
+        "_own", F.pmod(F.xxhash64("node"), F.col("_k")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("_k") - 1)
+    cols = ["band", "no", "node", "component", "main", "sketch", "cell"]
+    xs = spread.where("component <> main").select(*cols, F.lit(True).alias("x"), F.col("_own").alias("xb"), F.explode(every).alias("yb"))
+    ys = spread.select(*cols, F.lit(False).alias("x"), F.explode(every).alias("xb"), F.col("_own").alias("yb"))
+    rows = scratch_table(xs.unionByName(ys), "cells")
+    cells = max(1, rows.count() // ROWS_A_CELL)
+
+    def compare(table: pa.Table) -> pa.Table:
+        out: dict[tuple[int, int], dict[int, int]] = {}
+        seen: dict[int, set[int]] = {}
+        table = table.sort_by([("band", "ascending"), ("xb", "ascending"), ("yb", "ascending"), ("x", "descending")])
+        band, no, xb, yb, node, comp, main, cell = (
+            table[c].to_numpy() for c in ("band", "no", "xb", "yb", "node", "component", "main", "cell"))
+        is_x = table["x"].to_numpy(zero_copy_only=False)
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
+        new = (np.diff(band, prepend=band[0] - 1) != 0) | (np.diff(xb, prepend=0) != 0) | (np.diff(yb, prepend=0) != 0)
+        starts = [*np.flatnonzero(new).tolist(), len(band)]
+        for a, b in zip(starts, starts[1:], strict=False):
+            mid = a + int(is_x[a:b].sum())
+            for i in range(a, mid):
+                may = (comp[mid:b] != comp[i]) & ((comp[mid:b] == main[i]) | (node[mid:b] > node[i]))
+                near = mid + np.flatnonzero(may)
+                if len(near):
+                    same = sketch[near] == sketch[i]
+                    agree = same.sum(axis=1)
+                    first = same.reshape(len(near), -1, ROWS).all(axis=2)[:, :no[i]].any(axis=1)
+                    pick = (agree >= min_agree) & ~first  # not met in an earlier band
+                    for j, n in zip(near[pick].tolist(), agree[pick].tolist(), strict=True):
+                        out.setdefault((int(cell[j]), int(node[i])), {})[int(node[j])] = n
+                        seen.setdefault(int(cell[j]), set()).add(int(node[j]))
+        lists = [sorted(v, key=lambda y: (-v[y], y)) for v in out.values()]
+        return pa.table({"cell": pa.array([*(c for c, _ in out), *seen], pa.int64()),
+                         "node": pa.array([*(x for _, x in out), *([None] * len(seen))], pa.int64()),
+                         "ys": pa.array([*lists, *map(sorted, seen.values())], pa.list_(pa.int64()))})
+
+    find_package(rows.sparkSession)
+    return rows.groupBy(F.pmod(F.xxhash64("band", "xb", "yb"), F.lit(cells)).alias("_g")).applyInArrow(
+        compare, "cell long, node long, ys array<long>")
+
+
+def _partners(found: DataFrame) -> DataFrame:
+    """(cell, node) of the likely partners of all cells."""
+    lists = found.where("node is null").groupBy("cell").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    return lists.select("cell", F.explode("ys").alias("node"))
+
+
+def _first_links(found: DataFrame, components_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): for each x and cell, the first confirmed partner of each
+    component among its likely partners.  Cells hold at most about CELL
+    partners; the x of a cell come in blocks, too."""
+    asks = found.where("node is not null").groupBy("cell", "node").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    given = _partners(found)
+    blocks = asks.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select("cell", _blocks("n", BLOCK).alias("_k"))
+    own = sets.select(F.col("node").alias("_n"), "shingles")
+    asks = asks.join(blocks, "cell").join(own, F.col("node") == F.col("_n")).select(
+        "cell", F.pmod(F.xxhash64("node"), F.col("_k")).cast("int").alias("b"), "node", "ys", "shingles")
+    named = components_.select(F.col("node").alias("_m"), "component")
+    given = (given.join(blocks, "cell").join(own, F.col("node") == F.col("_n")).join(named, F.col("node") == F.col("_m"), "left")
+             .select("cell", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("b"), "node",
+                     F.coalesce("component", "node").alias("component"), "shingles"))
+
+    def confirm(x: pa.Table, y: pa.Table) -> pa.Table:
+        at = {n: i for i, n in enumerate(y["node"].to_pylist())}
+        comp = y["component"].to_pylist()
+        held = [np.frombuffer(s.as_py(), np.uint64) for s in y["shingles"]]
+        u, v = [], []
+        for node, ys, raw in zip(x["node"].to_pylist(), x["ys"].to_pylist(), x["shingles"], strict=True):
+            own, linked = np.frombuffer(raw.as_py(), np.uint64), set()
+            for other in ys:
+                i = at[other]
+                if comp[i] in linked:
+                    continue
+                both = overlap(own, held[i])
+                if 100 * both >= percent * (len(own) + len(held[i]) - both):
+                    linked.add(comp[i])
+                    u.append(node)
+                    v.append(other)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    find_package(sets.sparkSession)
+    asks, given = scratch_table(asks, "asks"), scratch_table(given, "given")
+    return asks.groupBy("cell", "b").cogroup(given.groupBy("cell", "b")).applyInArrow(confirm, "u long, v long")
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the classes that are linked with another one."""
-    bands = scratch_table(classes.select("node", F.explode("bands").alias("band")), "bands")
+    min_agree = MIN_AGREE if percent == PERCENT else max(1, int(SIZE * percent / 100 - 24))
+    bands = scratch_table(classes.select("node", F.posexplode("bands").alias("no", "band")), "bands")
     total = bands.count()
     buckets = scratch_table(bands.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
                             .where("n > 1"), "buckets")
     met = join_by_key(bands, buckets, "band", "n", total).where("found is not null")
-    members = scratch_table(met.select("band", "node", F.col("found.centre").alias("centre"),
+    members = scratch_table(met.select("band", "no", "node", F.col("found.centre").alias("centre"),
                                        F.col("found.n").alias("n")), "members")
     stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(scratch_table(stars, "stars"), classes, docs, width, percent)
+    likely = scratch_table(_agreeing(scratch_table(stars, "stars"), classes, min_agree), "likely")
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _sets_of(nodes, classes, docs, width)
+    links = scratch_table(_confirmed(likely, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     first = scratch_table(components(links), "components")
 
     # bands that still hold several components
-    by_node = first.select(F.col("node").alias("_node"), "component")
-    placed = (members.join(by_node, F.col("node") == F.col("_node"), "left")
-              .select("band", "node", "centre", F.coalesce("component", "node").alias("component")))
-    placed = scratch_table(placed, "placed")
+    named = first.select(F.col("node").alias("_node"), "component")
+    placed = scratch_table(members.join(named, F.col("node") == F.col("_node"), "left").select(
+        "band", "no", "node", "centre", "n", F.coalesce("component", "node").alias("component")), "placed")
     open_ = placed.groupBy("band").agg(F.min_by("component", "node").alias("main"), F.min("component").alias("lo"),
-                                       F.max("component").alias("hi")).where("lo < hi").select("band", "main")
-    outside = placed.join(open_, "band").where("component <> main").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("ca"), "main")
-    others = placed.where("node <> centre").select("band", F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = outside.join(others, "band").where("ca <> cb and (cb = main or a < b)").select("a", "b").distinct()
-    more = _links(scratch_table(rest, "rest"), classes, docs, width, percent)
-    return components(links.unionByName(more))
+                                       F.max("component").alias("hi")).where("lo < hi").select(F.col("band").alias("_band"), "main")
+    open_ = scratch_table(open_, "open")
+    if open_.isEmpty():
+        return first
+    placed = scratch_table(placed.join(open_, F.col("band") == F.col("_band")).drop("_band"), "placed-open")
+    # nodes that are compared with the same component share cells
+    family = scratch_table(placed.groupBy("node").agg(F.min("main").alias("family")), "families")
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sizes.select(F.col("family").alias("_f"), _blocks("size", CELL).alias("_k"))
+    cells = max(1, family.count() // CELL)
+    cell = F.pmod(F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("_k"))), F.lit(cells))
+    own = (family.join(sizes, F.col("family") == F.col("_f")).join(classes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
+           .select(F.col("node").alias("_node"), "sketch", cell.alias("cell")))
+    placed = placed.join(own, F.col("node") == F.col("_node"))
+    found = scratch_table(_candidates(placed.select("band", "no", "n", "main", "node", "centre", "component", "sketch", "cell"),
+                                      min_agree), "found")
+    nodes = found.where("node is not null").select("node").union(_partners(found).select("node")).distinct()
+    more = _first_links(found, first, _sets_of(nodes, classes, docs, width), percent)
+    return components(links.unionByName(scratch_table(more, "more-links")))
 
 
 def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id",
