@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +26,20 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Arrow batches to and from Python workers: what a worker and its executor hold
+# beside their heaps is a few batches, whatever the length of the texts.
+ARROW_ROWS = 2000
+ARROW_BYTES = 4 * 2 ** 20
+
+
 def find_package(spark: SparkSession) -> None:
     """Let Python workers started from now on import this package from where
-    the driver has it (on a cluster, ship it with ``--py-files``)."""
+    the driver has it (on a cluster, ship it with ``--py-files``), give freed
+    Arrow memory back, and get Arrow batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     env = spark.sparkContext.environment
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in known:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
@@ -41,6 +51,21 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def text_slices(texts: Iterable, size: int) -> Iterator[tuple[int, list]]:
+    """(place of the first, texts) of consecutive values of an Arrow column
+    that hold about ``size`` characters or bytes together, so that what a
+    worker holds beside its Arrow batch is bounded by ``size`` and one text."""
+    at, some, held = 0, [], 0
+    for i, t in enumerate(texts):
+        some.append(t.as_py())
+        held += len(some[-1] or "")
+        if held >= size:
+            yield at, some
+            at, some, held = i + 1, [], 0
+    if some:
+        yield at, some
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: the lineage is cut, lost executors lose nothing, and the table's

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bm25 import Index
-from .common import map_arrow
+from .common import map_arrow, text_slices
 
 PART = 32
 THRESHOLD = 0.55
@@ -155,19 +155,6 @@ def _matchers(benchmark: DataFrame, id_col: str, text_col: str, index_bytes: int
         yield Matcher(rows)
 
 
-def _in_slices(texts: pa.Array):
-    """(from, texts) of consecutive rows that hold about BATCH_BYTES."""
-    at, some, held = 0, [], 0
-    for i, t in enumerate(texts):
-        some.append(t.as_py())
-        held += len(some[-1] or "")
-        if held >= BATCH_BYTES:
-            yield at, some
-            at, some, held = i + 1, [], 0
-    if some:
-        yield at, some
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, bm25 (share of
@@ -183,7 +170,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         def run(batches, sent=sent):
             for batch in batches:
                 ids = batch.column(0)
-                for at, some in _in_slices(batch.column(1)):
+                for at, some in text_slices(batch.column(1), BATCH_BYTES):
                     rows = [r | {"doc_id": ids[at + i].as_py()} for i, found in enumerate(sent.value.find(some)) for r in found]
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema)
@@ -203,7 +190,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def run(batches, sent=sent):
             for batch in batches:
-                clean = [not found for _, some in _in_slices(batch.column(at)) for found in sent.value.find(some)]
+                clean = [not found for _, some in text_slices(batch.column(at), BATCH_BYTES) for found in sent.value.find(some)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = map_arrow(docs, run, docs.schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, text_slices
 from .subwords import Scorer, bucket_counts, scores, softmax, temperature, train
 
 UNKNOWN = "und"
@@ -71,20 +71,19 @@ def fit(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, most: int = TRAIN_D
     def run(batches):
         for batch in batches:
             found = [bucket_counts(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b for b, _ in found], pa.list_(pa.int32())),
-                                              pa.array([c for _, c in found], pa.list_(pa.int32()))],
-                                             names=["lang", "buckets", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i].tobytes() for x in found], pa.binary())
+                                                                 for i in range(2))], names=["lang", "buckets", "counts"])
 
     sample = labelled_sample(labelled.select("lang", "text").where("lang is not null and text is not null"), "lang",
                              per_lang, most)
-    rows = map_arrow(sample, run, "lang string, buckets array<int>, counts array<int>").collect()
-    rows.sort(key=lambda r: (r.lang, len(r.buckets), r.buckets[:8]))
+    rows = map_arrow(sample, run, "lang string, buckets binary, counts binary").collect()
+    rows.sort(key=lambda r: (r.lang, bytes(r.buckets), bytes(r.counts)))
     languages = sorted({r.lang for r in rows})
     if not languages:
         return LanguageModel([], np.zeros((1, 0)), 0.0)
     labels = np.array([languages.index(r.lang) for r in rows])
-    buckets = [np.array(r.buckets, np.int64) for r in rows]
-    counts = [np.array(r.counts, np.float64) for r in rows]
+    buckets = [np.frombuffer(r.buckets, np.int32) for r in rows]
+    counts = [np.frombuffer(r.counts, np.int32) for r in rows]
     held = np.arange(len(rows)) % 5 == 4  # calibrates
     some = [i for i in range(len(rows)) if not held[i]] or list(range(len(rows)))
     logits = train([buckets[i] for i in some], [counts[i] for i in some], labels[some], len(languages))
@@ -116,18 +115,6 @@ def _predictor(model: LanguageModel):
     return predict
 
 
-def _slices(texts: pa.Array):
-    at, some, held = 0, [], 0
-    for i, t in enumerate(texts):
-        some.append(t.as_py())
-        held += len(some[-1] or "")
-        if held >= BATCH_BYTES:
-            yield at, some
-            at, some, held = i + 1, [], 0
-    if some:
-        yield at, some
-
-
 def _has_letter(text: str) -> Column:
     return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
@@ -139,7 +126,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     def run(batches):
         ask = _predictor(sent.value)
         for batch in batches:
-            for at, some in _slices(batch.column(1)):
+            for at, some in text_slices(batch.column(1), BATCH_BYTES):
                 lang, score, rejected = ask(some, batch.column(2).slice(at, len(some)).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array(lang, pa.string()),
                                                   pa.array(score), pa.array(rejected)],
@@ -159,7 +146,7 @@ def keep_known_languages(docs: DataFrame, model: LanguageModel, text_col: str =
         ask = _predictor(sent.value)
         for batch in batches:
             letters = batch.column(1)
-            gone = [x for at, some in _slices(batch.column(0)) for x in ask(some, letters.slice(at, len(some)).to_pylist())[2]]
+            gone = [x for at, some in text_slices(batch.column(0), BATCH_BYTES) for x in ask(some, letters.slice(at, len(some)).to_pylist())[2]]
             yield batch.filter(pa.array([not x for x in gone], pa.bool_())).select(["row"])
 
     from pyspark.sql.types import StructType

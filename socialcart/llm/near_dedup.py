@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import fill, filter_words, probe
-from .common import find_package, join_by_key, map_arrow, scratch_table
+from .common import find_package, join_by_key, map_arrow, scratch_table, text_slices
 from .components import components
 from .shingles import WIDTH, WordHasher, band_keys, overlap, shingle_hashes, sketches
 
@@ -45,35 +45,15 @@ SIZE = 128
 ROWS = 4
 MIN_AGREE = 72
 PERCENT = 75
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 BLOCK = 1024  # members of a band that are compared with as many others at once
 ROWS_A_CELL = 20_000
 CELL = 1000  # nodes whose shingle sets one task holds for confirmation
 
-_hashers: dict[str, WordHasher] = {}
-
-
-def _hasher() -> WordHasher:
-    """One word cache per worker process."""
-    return _hashers.setdefault("", WordHasher())
-
-
 def _set_digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _slices(texts: list[bytes]):
-    """(from, to) of consecutive texts that hold about BATCH_BYTES."""
-    at, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= BATCH_BYTES:
-            yield at, i + 1
-            at, held = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def document_sketches(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, tkey, n, cls, bands, sketch) per document; ``tkey`` is a hash
     of the text that tells rows with one id apart, ``cls`` the digest of the
@@ -82,16 +62,15 @@ def document_sketches(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id
                         ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches):
-        hasher = _hasher()
+        hasher = WordHasher()
         for batch in batches:
-            texts = [t or b"" for t in batch.column(2).to_pylist()]
-            for a, b in _slices(texts):
-                sets = shingle_hashes(hasher, texts[a:b], width)
+            for a, texts in text_slices(batch.column(2), BATCH_BYTES):
+                sets = shingle_hashes(hasher, [t or b"" for t in texts], width)
                 full = sketches(sets, SIZE)
                 keys, low = band_keys(full, ROWS), (full & np.uint64(255)).astype(np.uint8)
                 some = [len(s) > 0 for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                    batch.column(0).slice(a, len(texts)), batch.column(1).slice(a, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([k if ok else None for k, ok in zip(keys, some, strict=True)], pa.list_(pa.int64())),
@@ -106,11 +85,10 @@ def document_sketches(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id
 def _shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(cls, shingles) of (doc_id, text) rows."""
     def run(batches):
-        hasher = _hasher()
+        hasher = WordHasher()
         for batch in batches:
-            texts = [t or b"" for t in batch.column(0).to_pylist()]
-            for a, b in _slices(texts):
-                sets = shingle_hashes(hasher, texts[a:b], width)
+            for _, texts in text_slices(batch.column(0), BATCH_BYTES):
+                sets = shingle_hashes(hasher, [t or b"" for t in texts], width)
                 yield pa.RecordBatch.from_arrays([pa.array([_set_digest(s) for s in sets], pa.binary()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["cls", "shingles"])

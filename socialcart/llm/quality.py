@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import find_package, map_arrow, scratch_table
+from .common import find_package, map_arrow, scratch_table, text_slices
 from .language_id import fold
 from .random_index import BUCKETS, DIM, ContextSums, TokenCoder, pool, word_vectors
 
@@ -37,22 +37,10 @@ BLOCKS = 64
 FAN_IN = 256
 BATCH_BYTES = 1_000_000
 
-_coders: dict[str, TokenCoder] = {}
-
-
-def _coded(texts: pa.Array):
+def _coded(coder: TokenCoder, texts: pa.Array):
     """Bucket numbers of consecutive texts, about BATCH_BYTES at a time."""
-    coder = _coders.setdefault("", TokenCoder())
-    some, held = [], 0
-    for t in texts:
-        raw = t.as_py()
-        some.append(coder(raw))
-        held += len(raw or b"")
-        if held >= BATCH_BYTES:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
+    for _, some in text_slices(texts, BATCH_BYTES):
+        yield [coder(t) for t in some]
 
 
 def learn_vectors(texts: DataFrame) -> np.ndarray:
@@ -60,9 +48,9 @@ def learn_vectors(texts: DataFrame) -> np.ndarray:
     def collect(batches):
         from pyspark import TaskContext
 
-        sums, rows = ContextSums(), 0
+        coder, sums, rows = TokenCoder(), ContextSums(), 0
         for batch in batches:
-            for some in _coded(batch.column(0)):
+            for some in _coded(coder, batch.column(0)):
                 sums.add(some)
                 rows += len(some)
         if rows:
@@ -94,9 +82,10 @@ def pool_texts(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(np.concatenate([vectors, vectors ** 2], axis=1))
 
     def run(batches):
+        coder = TokenCoder()
         for batch in batches:
             at = 0
-            for some in _coded(batch.column(1)):
+            for some in _coded(coder, batch.column(1)):
                 x = pool(sent.value, some)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array(list(x), pa.list_(pa.float32()))],
                                                  names=["doc_id", "pooled"])

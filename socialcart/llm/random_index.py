@@ -19,7 +19,7 @@ DIM = 32
 NONZERO = 4
 WINDOW = 2
 REPEAT, CAPITALS = 0, 1
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 
 _RUNS = re.compile(r"[^\W_]+|[\W_]+")
 

@@ -11,7 +11,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 
 _U = np.uint64
 

@@ -12,7 +12,7 @@ from .shingles import mix
 
 BUCKETS = 2 ** 16
 SIZES = (2, 3, 4)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 # ASCII characters that are not letters part words; letters are lower-cased
 _PART = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -82,7 +82,7 @@ def train(buckets: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarra
             lr = rate * (1 - step / steps)
             back = (error @ out.T).astype(np.float32)
             out -= (0.05 * lr) * (hidden.T @ error).astype(np.float32)
-            flat = (idx[:, None] * dim + np.arange(dim)).ravel()
+            flat = (idx[:, None].astype(np.int64) * dim + np.arange(dim)).ravel()
             np.subtract.at(emb.ravel(), flat, (lr * share[:, None] * back[doc]).ravel())
             step += 1
     return emb @ out
