@@ -44,6 +44,7 @@ from .ngrams import (BITS_PER_ENTRY, CUTOFF, CountFilter, bigram_keys, fill_segm
 from .shingles import WordHasher
 
 CHUNK_TOKENS = 2_000_000
+BLOCK_TOKENS = 100_000  # scored at once
 SEGMENT_BYTES = 16_000_000
 MAX_SEGMENTS = 4096
 MAX_FILTER_BYTES = 2 ** 27
@@ -53,8 +54,6 @@ ALPHA = 0.1
 END = b""
 TOP_COUNT = 64  # counts from here on are one class of the histogram
 
-_hashers: dict[str, WordHasher] = {}
-
 
 def words_of(text: bytes | None) -> list[bytes]:
     """ASCII rules of bytes: lower() is A-Z only, split() is 0x20, 0x09-0x0D."""
@@ -148,7 +147,7 @@ def bigram_counts(train: DataFrame, segments: int) -> DataFrame:
     """(text) → (seg, keys, counts) of bigrams seen CUTOFF times or more, one
     row per segment, and a histogram of their counts (up to TOP_COUNT)."""
     def collect(batches):
-        hasher = _hashers.setdefault("", WordHasher())
+        hasher = WordHasher()
         held, size = [], 0
 
         def flush():
@@ -249,22 +248,36 @@ def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = W
         # a unigram's logarithm is taken from the count alone, as in the base's formula
         log_p, known = np.log10(p), count > 0
         at_end = int(np.searchsorted(hashes, end_hash)[0]) if len(hashes) else 0
-        out = [[], [], [], []]
-        for raw in texts["ids"]:
-            ids = unpack(raw.as_py(), np.uint32).astype(np.int64)
+        out = []
+
+        def block(some: list[np.ndarray]) -> None:
+            """Many documents at once: tokens side by side, sums by document."""
+            ids = np.concatenate(some)
+            first = np.cumsum([0, *map(len, some)])[:-1]
             before = np.concatenate([[at_end], ids[:-1]])
-            pair = sent.value.counts(hashes[before], hashes[ids])
-            pair = np.minimum(pair, np.minimum(count[before], count[ids]))
+            before[first] = at_end
             context = count[before]
+            pair = sent.value.counts(hashes[before], hashes[ids])
+            pair = np.minimum(pair, np.minimum(context, count[ids]))
             g = np.where(context < CUTOFF, 0.0, weight * np.minimum(1.0, context / SURE))
             smooth = g * pair / np.maximum(context, 1) + (1 - g) * p[ids]
-            for col, x in zip(out, (len(ids), int(known[ids].sum()), float(log_p[ids].sum()), float(np.log10(smooth).sum())),
-                              strict=True):
-                col.append(x)
+            add = [np.add.reduceat(x, first) for x in (known[ids].astype(np.int64), log_p[ids], np.log10(smooth))]
+            out.extend(zip(map(len, some), *add, strict=True))
+
+        some, size = [], 0
+        for raw in texts["ids"]:
+            some.append(unpack(raw.as_py(), np.uint32).astype(np.int64))
+            size += len(some[-1])
+            if size >= BLOCK_TOKENS:
+                block(some)
+                some, size = [], 0
+        if some:
+            block(some)
         n = texts.num_rows
-        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(out[0], pa.int64()),
-                         "n_known": pa.array(out[1], pa.int64()), "train_tokens": pa.array([t] * n, pa.int64()),
-                         "base_score": pa.array(out[2], pa.float64()), "score": pa.array(out[3], pa.float64())})
+        cols = list(zip(*out, strict=True)) or [(), (), (), ()]
+        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(cols[0], pa.int64()),
+                         "n_known": pa.array(cols[1], pa.int64()), "train_tokens": pa.array([t] * n, pa.int64()),
+                         "base_score": pa.array(cols[2], pa.float64()), "score": pa.array(cols[3], pa.float64())})
 
     texts = coded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
     words = counts.select("chunk", "seg", "hashes", "counts")
