@@ -121,18 +121,18 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     def cut(batches):
         schedule = Schedule(plan, capacity)
         for batch in batches:
-            out = [[] for _ in wide]
+            out = []
             rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
             for doc_id, source, queue, first, n, coded in rows:
                 ids = np.frombuffer(coded, f"<u{len(coded) // n}").astype("<u4")
                 raw = memoryview(ids.tobytes())
                 for a, b, window, offset in schedule.pieces(queue, first, first + n):
                     a, b = a - first, b - first
-                    row = [doc_id, a, b - a, zlib.crc32(raw[4 * a:4 * b]), n, window, offset, source]
-                    row += [ids[a:b].astype(np.int32)] if with_ids else []
-                    for col, v in zip(out, row, strict=True):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+                    row = (doc_id, a, b - a, zlib.crc32(raw[4 * a:4 * b]), n, window, offset, source)
+                    out.append((*row, ids[a:b].astype(np.int32)) if with_ids else row)
+            if out:
+                cols = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     ddl = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
            "source string" + (", ids array<int>" if with_ids else ""))

@@ -15,9 +15,10 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 
-_TAIL = re.compile(rb"(?<=[a-z0-9])([,.])(?=[\x20\x09-\x0D]|\Z)")
+# begins with the characters that are looked for, so the scan is fast
+_TAIL = re.compile(rb"[,.](?<=[a-z0-9].)(?=[\x20\x09-\x0D]|\Z)")
 
 
 class ChunkEncoder:
@@ -45,7 +46,7 @@ class ChunkEncoder:
         if len(self.cache) > self.cache_chunks:
             self.cache.clear()
         cache = self.cache
-        self._learn([c for c in set().union(*chunks) if c not in cache])
+        self._learn(list(set().union(*chunks).difference(cache)))
         get = cache.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 
@@ -54,7 +55,7 @@ class ChunkEncoder:
         """Chunks between ASCII white space, lower-cased, with a comma or full
         stop after an ASCII letter or digit as a chunk of its own: none of
         that changes the ids.  Texts that may hold a special token stay."""
-        return text.split() if b"<|" in text else _TAIL.sub(rb" \1", text.lower()).split()
+        return text.split() if b"<|" in text else _TAIL.sub(rb" \g<0>", text.lower()).split()
 
     def _learn(self, new: list[bytes]) -> None:
         text = [c.decode() for c in new]
