@@ -153,16 +153,17 @@ def _blocks(n: str, size: int):
 def _candidates(members: DataFrame, min_agree: int) -> DataFrame:
     """Compares sketches inside the bands that are still open.
 
-    ``members``: (band, no, n, main, node, centre, component, sketch, cell).
-    Members outside the main component (x) meet all members but the centre
+    ``members``: (band, no, n, main, node, centre, component, sketch, bands,
+    cell).  Members outside the main component (x) meet all members but the centre
     (y) in blocks of at most BLOCK by BLOCK; a pair that shares several bands
-    counts in the first one.  Returns a row (cell, x, ys) for each x and cell
+    counts in the first one, told by the band keys themselves (a sketch has
+    only a byte per coordinate, so it may agree where the keys differ).  Returns a row (cell, x, ys) for each x and cell
     with its likely partners there, best first, and a row (cell, null, ys) with
     all likely partners of a cell; no row for a pair."""
     spread = members.where("node <> centre").withColumn("_k", _blocks("n", BLOCK)).withColumn(
         "_own", F.pmod(F.xxhash64("node"), F.col("_k")).cast("int"))
     every = F.sequence(F.lit(0), F.col("_k") - 1)
-    cols = ["band", "no", "node", "component", "main", "sketch", "cell"]
+    cols = ["band", "no", "node", "component", "main", "sketch", "bands", "cell"]
     xs = spread.where("component <> main").select(*cols, F.lit(True).alias("x"), F.col("_own").alias("xb"), F.explode(every).alias("yb"))
     ys = spread.select(*cols, F.lit(False).alias("x"), F.explode(every).alias("xb"), F.col("_own").alias("yb"))
     rows = scratch_table(xs.unionByName(ys), "cells")
@@ -176,6 +177,7 @@ def _candidates(members: DataFrame, min_agree: int) -> DataFrame:
             table[c].to_numpy() for c in ("band", "no", "xb", "yb", "node", "component", "main", "cell"))
         is_x = table["x"].to_numpy(zero_copy_only=False)
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
+        keys = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(band), -1)
         new = (np.diff(band, prepend=band[0] - 1) != 0) | (np.diff(xb, prepend=0) != 0) | (np.diff(yb, prepend=0) != 0)
         starts = [*np.flatnonzero(new).tolist(), len(band)]
         for a, b in zip(starts, starts[1:], strict=False):
@@ -184,11 +186,10 @@ def _candidates(members: DataFrame, min_agree: int) -> DataFrame:
                 may = (comp[mid:b] != comp[i]) & ((comp[mid:b] == main[i]) | (node[mid:b] > node[i]))
                 near = mid + np.flatnonzero(may)
                 if len(near):
-                    same = sketch[near] == sketch[i]
-                    agree = same.sum(axis=1)
-                    first = same.reshape(len(near), -1, ROWS).all(axis=2)[:, :no[i]].any(axis=1)
-                    pick = (agree >= min_agree) & ~first  # not met in an earlier band
-                    for j, n in zip(near[pick].tolist(), agree[pick].tolist(), strict=True):
+                    agree = (sketch[near] == sketch[i]).sum(axis=1)
+                    near, agree = near[agree >= min_agree], agree[agree >= min_agree]
+                    first = ~(keys[near, :no[i]] == keys[i, :no[i]]).any(axis=1)  # not met in an earlier band
+                    for j, n in zip(near[first].tolist(), agree[first].tolist(), strict=True):
                         out.setdefault((int(cell[j]), int(node[i])), {})[int(node[j])] = n
                         seen.setdefault(int(cell[j]), set()).add(int(node[j]))
         lists = [sorted(v, key=lambda y: (-v[y], y)) for v in out.values()]
@@ -278,11 +279,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH, percen
     sizes = sizes.select(F.col("family").alias("_f"), _blocks("size", CELL).alias("_k"))
     cells = max(1, family.count() // CELL)
     cell = F.pmod(F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("_k"))), F.lit(cells))
-    own = (family.join(sizes, F.col("family") == F.col("_f")).join(classes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
-           .select(F.col("node").alias("_node"), "sketch", cell.alias("cell")))
+    own = (family.join(sizes, F.col("family") == F.col("_f")).join(classes.select(F.col("node").alias("_n"), "sketch", "bands"), F.col("node") == F.col("_n"))
+           .select(F.col("node").alias("_node"), "sketch", "bands", cell.alias("cell")))
     placed = placed.join(own, F.col("node") == F.col("_node"))
-    found = scratch_table(_candidates(placed.select("band", "no", "n", "main", "node", "centre", "component", "sketch", "cell"),
-                                      min_agree), "found")
+    found = scratch_table(_candidates(placed.select("band", "no", "n", "main", "node", "centre", "component", "sketch", "bands",
+                                                    "cell"), min_agree), "found")
     nodes = found.where("node is not null").select("node").union(_partners(found).select("node")).distinct()
     more = _first_links(found, first, _sets_of(nodes, classes, docs, width), percent)
     return components(links.unionByName(scratch_table(more, "more-links")))

@@ -75,6 +75,19 @@ def test_drifting_copies_in_small_blocks(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _brute(rows)
 
 
+def test_low_bytes_that_agree_are_no_earlier_band(spark):
+    """Nodes 2 and 3 agree on all low bytes of band 0 but not on its key, and
+    share bands 1 and 2 with the centre 1: the pair counts in band 1 alone."""
+    keys = {1: [10, 21, 22, *range(100, 129)], 2: [11, 21, 22, *range(200, 229)], 3: [12, 21, 22, *range(300, 329)]}
+    rows = [(band, no, 3, 1, node, 1, node, bytes(128), keys[node], 0) for no, band in ((1, 21), (2, 22)) for node in keys]
+    members = spark.createDataFrame(rows, "band long, no int, n long, main long, node long, centre long, component long, "
+                                          "sketch binary, bands array<long>, cell long")
+    got = near_dedup._candidates(members, near_dedup.MIN_AGREE).collect()
+    assert sorted((str(r.node), r.ys) for r in got) == [("2", [3]), ("None", [3])]
+    # in band 2 alone they have met before
+    assert near_dedup._candidates(members.where("no = 2"), near_dedup.MIN_AGREE).count() == 0
+
+
 def test_survivors_keep_all_columns(odd_documents):
     got = drop_near_copies(odd_documents)
     assert got.columns == odd_documents.columns
