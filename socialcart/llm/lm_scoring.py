@@ -12,13 +12,16 @@ the vocabulary grows with the corpus, so it is never broadcast:
    chunk and distinct word, not per document and word.
 3. Bigrams of the training documents, added up in each chunk first, go to
    segments, too; a segment keeps those seen ``CUTOFF`` times and fills its
-   part of the filter.  The filter takes BITS_PER_ENTRY bits for each entry; the
-   cut-off rises if that would pass ``MAX_FILTER_BYTES``, the bound of what is
-   broadcast.  All counts cover the whole training part.
+   part of the filter, BITS_PER_ENTRY bits for each entry.  The filter is cut
+   into blocks of segments of at most ``MAX_FILTER_BYTES``, the bound of what is
+   broadcast; their number grows with the corpus, the cut-off does not.  All
+   counts cover the whole training part.
 4. Chunk by chunk, coded tokens meet their exact counts, bigrams are probed,
    and P(w|v) = g * c(vw) / c(v) + (1 - g) * P(w) with the base's P(w) and
    g = WEIGHT * min(1, c(v) / SURE), 0 where c(v) < CUTOFF; the filter's c(vw)
-   is held to c(v) and c(w) at most.
+   is held to c(v) and c(w) at most.  With several blocks, chunks first write
+   their distinct bigrams by block; block after block is broadcast and probed
+   with its own bigrams only, and chunks get the levels found back.
 
 Segments grow with the input (``SEGMENT_BYTES`` of text each), so none outgrows
 a task.  Defined cases: null text is empty and has the end token alone; a null
@@ -30,16 +33,21 @@ columns are not looked at.
 from __future__ import annotations
 
 import math
+import uuid
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from socialcart.session import checkpoint_root
+
 from .common import find_package, map_arrow, scratch_table
 from .language_id import fold
-from .ngrams import (BITS_PER_ENTRY, CUTOFF, CountFilter, bigram_keys, fill_segment, level, pack, pack_sorted, unpack,
+from .ngrams import (BITS_PER_ENTRY, CUTOFF, CountFilter, bigram_keys, fill_segment, level, level_counts, pack, pack_sorted, unpack,
                      unpack_sorted)
 from .shingles import WordHasher
 
@@ -52,7 +60,6 @@ WEIGHT = 0.2
 SURE = 20  # contexts seen so often have the full weight
 ALPHA = 0.1
 END = b""
-TOP_COUNT = 64  # counts from here on are one class of the histogram
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -145,7 +152,7 @@ def exact_counts(words: DataFrame) -> DataFrame:
 
 def bigram_counts(train: DataFrame, segments: int) -> DataFrame:
     """(text) → (seg, keys, counts) of bigrams seen CUTOFF times or more, one
-    row per segment, and a histogram of their counts (up to TOP_COUNT)."""
+    row per segment, with how many entries they make and the largest count."""
     def collect(batches):
         hasher = WordHasher()
         held, size = [], 0
@@ -177,49 +184,140 @@ def bigram_counts(train: DataFrame, segments: int) -> DataFrame:
         every, at = np.unique(keys, return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(every)).astype(np.uint32)
         every, total = every[total >= CUTOFF], total[total >= CUTOFF]
-        q, low = level(np.maximum(total, 1)), np.minimum(total, TOP_COUNT)
+        entries = int((level(total) - level(np.array([CUTOFF])) + 1).sum())
         return pa.table({"seg": pa.array([table["seg"][0].as_py()], pa.int32()),
                          "keys": pa.array([pack_sorted(every)], pa.binary()), "counts": pa.array([pack(total)], pa.binary()),
-                         "levels": pa.array([np.bincount(low, weights=q, minlength=TOP_COUNT + 1).astype(np.int64)], pa.list_(pa.int64())),
-                         "held": pa.array([np.bincount(low, minlength=TOP_COUNT + 1)], pa.list_(pa.int64())),
+                         "entries": pa.array([entries], pa.int64()),
                          "top": pa.array([int(total.max(initial=1))], pa.int64())})
 
     coded = map_arrow(train.select(F.col("text").cast("binary")), collect, "seg int, keys binary, counts binary")
     return coded.groupBy("seg").applyInArrow(
-        add_up, "seg int, keys binary, counts binary, levels array<long>, held array<long>, top long")
+        add_up, "seg int, keys binary, counts binary, entries long, top long")
+
+
+class Layout(NamedTuple):
+    """Where a filter's segments lie.  A segment that outgrows a block is cut
+    into ``parts`` by its keys; parts count as segments from then on."""
+    segments: int
+    parts: int
+    words: int  # of a part
+    per_block: int
+    top: int
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.segments * self.parts // self.per_block)
 
+    def places(self, segment, key: np.ndarray) -> np.ndarray:
+        """Part and key in one number, in order of blocks."""
+        key = key.astype(np.uint64)
+        part = np.asarray(segment).astype(np.uint64) * np.uint64(self.parts) + (key * np.uint64(self.parts) >> np.uint64(32))
+        return part << np.uint64(32) | key
 
-def _choose_cutoff(bigrams: DataFrame, max_bytes: int) -> tuple[int, int, int]:
-    """(cut-off, entries, largest count).  The histogram has TOP_COUNT + 1
-    classes, so the driver sees that many rows."""
-    hist = bigrams.select(F.posexplode(F.arrays_zip("levels", "held")).alias("c", "x")).groupBy("c").agg(
-        F.sum("x.levels").alias("levels"), F.sum("x.held").alias("held")).collect()
-    top = bigrams.agg(F.max("top")).first()[0] or 1
-    entries, cutoff = 0, CUTOFF
-    for cutoff in range(CUTOFF, TOP_COUNT + 1):
-        below = int(level(np.array([cutoff]))[0]) - 1
-        entries = sum(r.levels - below * r.held for r in hist if r.c >= cutoff)
-        if entries * BITS_PER_ENTRY <= 8 * max_bytes:
-            break
-    return cutoff, entries, top
 
+def filter_layout(bigrams: DataFrame, segments: int, max_bytes: int = MAX_FILTER_BYTES) -> Layout:
+    entries, top = bigrams.agg(F.sum("entries"), F.max("top")).first()
 
-def build_filter(bigrams: DataFrame, segments: int, max_bytes: int = MAX_FILTER_BYTES) -> CountFilter:
-    """The filter on the driver; at most ``max_bytes``."""
-    cutoff, entries, top = _choose_cutoff(bigrams, max_bytes)
-    size = min(max_bytes // 8 // segments, math.ceil(max(entries, 1) * BITS_PER_ENTRY / 64 / segments * 1.02) + 8)
+    def words(parts: int) -> int:
+        return math.ceil(max(entries or 0, 1) * BITS_PER_ENTRY / 64 / (segments * parts) * 1.02) + 8
+
+    parts = 1 if 8 * words(1) <= max_bytes else -(-words(1) // max(1, max_bytes // 8 - 9))
+    return Layout(segments, parts, words(parts), max(1, max_bytes // 8 // words(parts)), int(level(np.array([top or 1]))[0]))
+
+
+def build_filter(bigrams: DataFrame, layout: Layout, block: int) -> CountFilter:
+    """One block of the filter, on the driver."""
+    size, parts = layout.words, layout.parts
+    lo = block * layout.per_block
+    hi = min(lo + layout.per_block, layout.segments * parts)
 
     def fill(batches):
         for batch in batches:
-            seg = batch.column(0).to_pylist()
-            bits = [fill_segment(s, unpack_sorted(k.as_py(), np.uint32), unpack(c.as_py(), np.uint32), cutoff, size).tobytes()
-                    for s, k, c in zip(seg, batch.column(1), batch.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["seg", "bits"])
+            part, bits = [], []
+            for s, k, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                keys, counts = unpack_sorted(k.as_py(), np.uint32), unpack(c.as_py(), np.uint32)
+                own = layout.places(s, keys) >> np.uint64(32)
+                for p in range(max(lo, s * parts), min(hi, (s + 1) * parts)):
+                    part.append(p)
+                    bits.append(fill_segment(p, keys[own == p], counts[own == p], CUTOFF, size).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
+
+    own = bigrams.where(F.col("seg").between(lo // parts, (hi - 1) // parts)).select("seg", "keys", "counts")
+    table = np.zeros(size * (hi - lo), np.uint64)
+    for r in map_arrow(own, fill, "part int, bits binary").toLocalIterator():
+        table[(r.part - lo) * size:(r.part - lo + 1) * size] = np.frombuffer(r.bits, np.uint64)
+    return CountFilter(table, hi - lo, CUTOFF, layout.top, lo)
+
+
+def _word_counts(words: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of a chunk's words."""
+    order = np.argsort(words["seg"].to_numpy())
+    hashes = [unpack_sorted(words["hashes"][int(i)].as_py(), np.uint64) for i in order]
+    counts = [unpack(words["counts"][int(i)].as_py(), np.uint64) for i in order]
+    return tuple(np.concatenate([np.zeros(0, np.uint64), *x]) for x in (hashes, counts))
+
+
+def _blocks_of(texts: pa.Table, at_end: int):
+    """(ids, ids before them, where documents begin, their lengths) of many
+    documents at once, side by side."""
+    some, size = [], 0
+    for i, raw in enumerate(texts["ids"], 1):
+        some.append(unpack(raw.as_py(), np.uint32).astype(np.int64))
+        size += len(some[-1])
+        if size >= BLOCK_TOKENS or i == texts.num_rows:
+            ids = np.concatenate(some)
+            first = np.cumsum([0, *map(len, some)])[:-1]
+            before = np.concatenate([[at_end], ids[:-1]])
+            before[first] = at_end
+            yield ids, before, first, list(map(len, some))
+            some, size = [], 0
+
+
+def _place_of_end(hashes: np.ndarray) -> int:
+    return int(np.searchsorted(hashes, np.uint64(xxhash.xxh3_64_intdigest(END)))) if len(hashes) else 0
+
+
+def _distinct_places(texts: pa.Table, hashes: np.ndarray, layout: Layout) -> np.ndarray:
+    """The distinct bigrams of a chunk, in order of blocks."""
+    every = [np.unique(layout.places(*bigram_keys(hashes[before], hashes[ids], layout.segments)))
+             for ids, before, _, _ in _blocks_of(texts, _place_of_end(hashes))]
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *every]))
 
-    table = np.zeros(size * segments, np.uint64)
-    for r in map_arrow(bigrams.select("seg", "keys", "counts"), fill, "seg int, bits binary").toLocalIterator():
-        table[r.seg * size:(r.seg + 1) * size] = np.frombuffer(r.bits, np.uint64)
-    return CountFilter(table, segments, cutoff, int(level(np.array([top]))[0]))
+
+def found_levels(texts: DataFrame, words: DataFrame, bigrams: DataFrame, layout: Layout) -> DataFrame:
+    """(chunk, block, levels): the filter's levels of each chunk's distinct
+    bigrams, by a pass for each block over the bigrams of that block."""
+    spark = texts.sparkSession
+
+    def ask(texts: pa.Table, words: pa.Table) -> pa.Table:
+        every = _distinct_places(texts, _word_counts(words)[0], layout)
+        block = (every >> np.uint64(32)).astype(np.int64) // layout.per_block
+        cuts = np.searchsorted(block, np.arange(layout.blocks + 1))
+        some = [b for b in range(layout.blocks) if cuts[b] < cuts[b + 1]]
+        chunk = texts["chunk"][0].as_py() if texts.num_rows else None
+        return pa.table({"chunk": pa.array([chunk] * len(some), pa.int64()), "block": pa.array(some, pa.int32()),
+                         "places": pa.array([pack_sorted(every[cuts[b]:cuts[b + 1]]) for b in some], pa.binary())})
+
+    find_package(spark)
+    asked, found = (f"{checkpoint_root(spark)}/llm-{n}-{uuid.uuid4().hex}" for n in ("asked", "levels"))
+    texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(
+        ask, "chunk long, block int, places binary").write.partitionBy("block").parquet(asked)
+    asks = spark.read.schema("chunk long, places binary, block int").parquet(asked)
+    for block in range(layout.blocks):
+        sent = spark.sparkContext.broadcast(build_filter(bigrams, layout, block))
+
+        def answer(batches, sent=sent):
+            for batch in batches:
+                places = [unpack_sorted(x.as_py(), np.uint64) for x in batch.column(2)]
+                levels = [sent.value.levels((x >> np.uint64(32)).astype(np.int64), (x & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+                          for x in places]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                    [x.astype(np.uint8).tobytes() for x in levels], pa.binary())], names=["chunk", "block", "levels"])
+
+        own = asks.where(F.col("block") == block).select("chunk", "block", "places")
+        map_arrow(own, answer, "chunk long, block int, levels binary").write.mode("append").parquet(found)
+        sent.destroy()
+    return spark.read.schema("chunk long, block int, levels binary").parquet(found)
 
 
 def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = WEIGHT, id_col: str = "doc_id",
@@ -233,54 +331,50 @@ def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = W
     counts = scratch_table(exact_counts(coded.where("seg is not null").select("chunk", "seg", "hashes", "counts")), "counts")
     v, t = (x or 0 for x in counts.agg(F.sum("v"), F.sum("t")).first())
     bigrams = scratch_table(bigram_counts(own.where(~F.col("held_out")), segments), "bigrams")
-    sent = docs.sparkSession.sparkContext.broadcast(build_filter(bigrams, segments, max_filter_bytes))
+    layout = filter_layout(bigrams, segments, max_filter_bytes)
+    texts = coded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
+    words = counts.select("chunk", "seg", "hashes", "counts")
+    if layout.blocks == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(build_filter(bigrams, layout, 0))
+    else:
+        sent, expected = None, level_counts(layout.top)
+        levels = found_levels(texts, words, bigrams, layout)
+        words = words.unionByName(levels, allowMissingColumns=True)
     norm = t + ALPHA * (v + 1)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    end_hash = np.array([xxhash.xxh3_64_intdigest(END)], np.uint64)
 
     def judge(texts: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words["seg"].to_numpy())
-        hashes = [unpack_sorted(words["hashes"][int(i)].as_py(), np.uint64) for i in order]
-        hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
-        count = np.concatenate([np.zeros(0, np.uint64), *(unpack(words["counts"][int(i)].as_py(), np.uint64) for i in order)])
+        if sent is None:
+            levels = words.filter(pc.is_valid(words["levels"])).sort_by("block")
+            words = words.filter(pc.is_valid(words["seg"]))
+        hashes, count = _word_counts(words)
+        if sent is None:
+            every = _distinct_places(texts, hashes, layout)
+            found = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_py(), np.uint8) for x in levels["levels"])])
         count = count.astype(np.float64)
         p = (count + ALPHA) / norm
         # a unigram's logarithm is taken from the count alone, as in the base's formula
         log_p, known = np.log10(p), count > 0
-        at_end = int(np.searchsorted(hashes, end_hash)[0]) if len(hashes) else 0
         out = []
-
-        def block(some: list[np.ndarray]) -> None:
-            """Many documents at once: tokens side by side, sums by document."""
-            ids = np.concatenate(some)
-            first = np.cumsum([0, *map(len, some)])[:-1]
-            before = np.concatenate([[at_end], ids[:-1]])
-            before[first] = at_end
+        for ids, before, first, sizes in _blocks_of(texts, _place_of_end(hashes)):
             context = count[before]
-            pair = sent.value.counts(hashes[before], hashes[ids])
+            if sent is None:
+                places = layout.places(*bigram_keys(hashes[before], hashes[ids], layout.segments))
+                pair = expected[found[np.searchsorted(every, places)]]
+            else:
+                pair = sent.value.counts(hashes[before], hashes[ids])
             pair = np.minimum(pair, np.minimum(context, count[ids]))
             g = np.where(context < CUTOFF, 0.0, weight * np.minimum(1.0, context / SURE))
             smooth = g * pair / np.maximum(context, 1) + (1 - g) * p[ids]
             add = [np.add.reduceat(x, first) for x in (known[ids].astype(np.int64), log_p[ids], np.log10(smooth))]
-            out.extend(zip(map(len, some), *add, strict=True))
-
-        some, size = [], 0
-        for raw in texts["ids"]:
-            some.append(unpack(raw.as_py(), np.uint32).astype(np.int64))
-            size += len(some[-1])
-            if size >= BLOCK_TOKENS:
-                block(some)
-                some, size = [], 0
-        if some:
-            block(some)
+            out.extend(zip(sizes, *add, strict=True))
+
         n = texts.num_rows
         cols = list(zip(*out, strict=True)) or [(), (), (), ()]
         return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(cols[0], pa.int64()),
                          "n_known": pa.array(cols[1], pa.int64()), "train_tokens": pa.array([t] * n, pa.int64()),
                          "base_score": pa.array(cols[2], pa.float64()), "score": pa.array(cols[3], pa.float64())})
 
-    texts = coded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
-    words = counts.select("chunk", "seg", "hashes", "counts")
     return texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(
         judge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     ).select(*names)

@@ -85,23 +85,26 @@ def fill_segment(segment: int, keys: np.ndarray, counts: np.ndarray, cutoff: int
 
 
 class CountFilter:
-    """All segments side by side."""
+    """Segments side by side: all of them, or those from ``start`` on."""
 
-    def __init__(self, table: np.ndarray, segments: int, cutoff: int, top: int):
-        self.table, self.segments, self.top = table, segments, top
+    def __init__(self, table: np.ndarray, segments: int, cutoff: int, top: int, start: int = 0):
+        self.table, self.segments, self.top, self.start = table, segments, top, start
         self.words = len(table) // segments
         self.first = int(level(np.array([cutoff]))[0])
         self.expected = level_counts(top)
 
     def counts(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Expected counts of word pairs by repeated probes; 0 if not held."""
-        segment, key = bigram_keys(before, after, self.segments)
+        return self.expected[self.levels(*bigram_keys(before, after, self.segments))]
+
+    def levels(self, segment: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The levels of keys of the segments held here; 0 if not held."""
         found = np.zeros(len(key), np.int64)
         alive = np.arange(len(key))
         for q in range(self.first, self.top + 1):
             if not len(alive):
                 break
             at, bits = _places(segment[alive], key[alive], q, self.words)
-            alive = alive[self.table[segment[alive] * self.words + at] & bits == bits]
+            alive = alive[self.table[(segment[alive] - self.start) * self.words + at] & bits == bits]
             found[alive] = q
-        return self.expected[found]
+        return found

@@ -62,6 +62,16 @@ def test_odd_rows_small_chunks_and_filter(spark, odd_documents, no_documents, mo
     assert score(no_documents).count() == 0
 
 
+def test_a_filter_of_many_blocks_is_the_same_model(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", 4000)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.3, 100), 150))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).persist()
+    one, many = (sorted((r.doc_id, r.score) for r in score(docs, max_filter_bytes=n).collect()) for n in (2 ** 27, 600))
+    assert [d for d, _ in one] == [d for d, _ in many]
+    assert np.allclose([x for _, x in one], [x for _, x in many], rtol=1e-9)
+
+
 def test_no_training_documents(spark):
     held = next(i for i in range(1000) if _held(i))
     got = score(spark.createDataFrame([(held, "some words")], "doc_id long, text string")).collect()
