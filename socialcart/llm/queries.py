@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from .language_id import identify
 from .lm_scoring import score
 from .near_dedup import near_copies
 from .packing import pack
+from .periodic_runs import find_runs, run_digests
 from .quality import classify
 from .warc import archive_round_trip
 
@@ -59,7 +61,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(load(spark, sf_dir, "documents"))
 
 
+def tile_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The periodic tail that a tenth of the documents get, chosen and shaped
+    by the checksum of the id; a document without id stays as it is."""
+    checksum, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or not n or checksum % 10:
+        return words
+    g = checksum // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + (words[start:start + period] * ((n - start) // period + 1))[:n - start]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(find_runs(load(spark, sf_dir, "documents"), rewrite=tile_tail))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [op1_html_extraction, op2_exact_dedup, op3_packing, op4_quality, op5_chat_formatting, op6_lm_scoring,
-           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id]
+           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id, op13_periodic_runs]
     return {f.__name__: f for f in ops}
