@@ -52,5 +52,56 @@ FROM u
 """
 
 
+_FIELDS = "concat_ws('', " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    for c in ("doc_id", "source", "lang", "n_chars")) + ", CASE WHEN {text} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END)"
+
+# the checksum of the id is folded byte by byte, eight shifts each
+OP11 = r"""
+WITH RECURSIVE sums AS (
+  SELECT *, xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+    lambda sum, byte: list_reduce([xor(sum, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+      lambda x, skip: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))), 4294967295::UBIGINT) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, sha256(@original@) AS leaf,
+         CASE WHEN crc % 2 = 0 THEN sha256(@tampered@) ELSE sha256(@original@) END AS present,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s
+  FROM sums),
+placed AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+own(s, level, i, digest, n) AS (
+  SELECT s, 0, place, leaf, count(*) OVER (PARTITION BY s) FROM placed
+  UNION ALL
+  SELECT s, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (n + 2) // 3
+  FROM own WHERE n > 1 GROUP BY s, level, i // 3, n),
+subroots AS (SELECT s, digest FROM own WHERE n = 1),
+above(level, i, digest, n) AS (
+  SELECT 0, s, digest, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (n + 2) // 3
+  FROM above WHERE n > 1 GROUP BY level, i // 3, n),
+steps AS (
+  SELECT p.s, p.place, o.level, coalesce(string_agg(o.digest, '' ORDER BY o.i) FILTER (o.i < p.place // (3 ** o.level)::BIGINT), '') AS l,
+         coalesce(string_agg(o.digest, '' ORDER BY o.i) FILTER (o.i > p.place // (3 ** o.level)::BIGINT), '') AS r
+  FROM placed p JOIN own o ON o.s = p.s AND o.n > 1 AND o.i // 3 = p.place // (3 ** o.level)::BIGINT // 3
+  GROUP BY ALL
+  UNION ALL
+  SELECT p.s, p.place, 1000 + o.level, coalesce(string_agg(o.digest, '' ORDER BY o.i) FILTER (o.i < p.s // (3 ** o.level)::BIGINT), ''),
+         coalesce(string_agg(o.digest, '' ORDER BY o.i) FILTER (o.i > p.s // (3 ** o.level)::BIGINT), '')
+  FROM placed p JOIN above o ON o.n > 1 AND o.i // 3 = p.s // (3 ** o.level)::BIGINT // 3
+  GROUP BY ALL),
+proofs AS (
+  SELECT s, place, list(l || '|' || r ORDER BY level) AS sides, string_agg(l || r, '' ORDER BY level) AS siblings
+  FROM steps GROUP BY s, place),
+ends AS (
+  SELECT p.doc_id, p.leaf, u.digest AS subroot, (SELECT digest FROM above WHERE n = 1) AS root,
+         sha256(coalesce(f.siblings, '')) AS proof_sha256,
+         list_reduce([p.present] || coalesce(f.sides, []),
+           lambda d, e: sha256(split_part(e, '|', 1) || d || split_part(e, '|', 2))) AS folded_root
+  FROM placed p JOIN subroots u ON u.s = p.s LEFT JOIN proofs f ON f.s = p.s AND f.place = p.place)
+SELECT *, folded_root = root AS verified FROM ends
+""".replace("@original@", _FIELDS.format(text="text")).replace("@tampered@", _FIELDS.format(text="replace(text, chr(10), '')"))
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op7_near_dedup": OP7, "op8_warc": OP8}
+    return {"op2_exact_dedup": OP2, "op7_near_dedup": OP7, "op8_warc": OP8, "op11_merkle_manifest": OP11}

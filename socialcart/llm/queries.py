@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat_formatting import format_conversations
 from .common import load
@@ -14,6 +15,7 @@ from .exact_dedup import exact_copies
 from .html_extraction import extract
 from .language_id import identify
 from .lm_scoring import score
+from .merkle import leaf_digest, verify
 from .near_dedup import near_copies
 from .packing import pack
 from .periodic_runs import find_runs, run_digests
@@ -61,6 +63,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(load(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf, changed = leaf_digest(*fields), leaf_digest(*fields[:-1], F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    return verify(docs, leaf, F.when(tampered, changed).otherwise(leaf))
+
+
 def tile_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The periodic tail that a tenth of the documents get, chosen and shaped
     by the checksum of the id; a document without id stays as it is."""
@@ -79,5 +89,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [op1_html_extraction, op2_exact_dedup, op3_packing, op4_quality, op5_chat_formatting, op6_lm_scoring,
-           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id, op13_periodic_runs]
+           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id, op11_merkle_manifest, op13_periodic_runs]
     return {f.__name__: f for f in ops}
