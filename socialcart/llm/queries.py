@@ -20,6 +20,8 @@ from .near_dedup import near_copies
 from .packing import pack
 from .periodic_runs import find_runs, run_digests
 from .quality import classify
+from .url_filter import judge
+from .url_labels import RULES, labelled_urls
 from .warc import archive_round_trip
 
 
@@ -71,6 +73,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(docs, leaf, F.when(tampered, changed).otherwise(leaf))
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return judge(load(spark, sf_dir, "pages"), rules, spark.createDataFrame(labelled_urls(), "url string, label int"))
+
+
 def tile_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The periodic tail that a tenth of the documents get, chosen and shaped
     by the checksum of the id; a document without id stays as it is."""
@@ -89,5 +96,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [op1_html_extraction, op2_exact_dedup, op3_packing, op4_quality, op5_chat_formatting, op6_lm_scoring,
-           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id, op11_merkle_manifest, op13_periodic_runs]
+           op7_near_dedup, op8_warc, op9_decontamination, op10_language_id, op11_merkle_manifest, op12_url_filter, op13_periodic_runs]
     return {f.__name__: f for f in ops}
