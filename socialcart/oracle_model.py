@@ -344,8 +344,8 @@ SELECT message_id, ord, campaign_id, message_type, user_id, is_purchased FROM (
     FROM messages_v) WHERE rn = 1"""
     from socialcart.oracle_sql import _GRAPH_TYPES, _kw_cte, q2_sql
     q["q3_graph_search"] = (
-        q2_sql(activity=f"WHERE e.event_type IN {_GRAPH_TYPES}",
-               own=f"AND own.event_type IN {_GRAPH_TYPES}")
+        q2_sql(activity=f"WHERE event_type IN {_GRAPH_TYPES}",
+               own=f"AND event_type IN {_GRAPH_TYPES}")
         + _kw_cte("rows") + f""",
 raw_events_v AS ({SQL_VIEWS['raw_events_v']}),
 cats AS ({_first_by('category_code', 'event_id', 'category_id', 'raw_events_v')}),
