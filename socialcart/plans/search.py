@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from socialcart.functions.text import DOT_SPLIT, TOKEN_RE, WORD_SPLIT, keep_token, tokens  # noqa: F401
+from socialcart.functions.text import DOT_SPLIT, MIN_TOKEN_LEN, TOKEN_RE, WORD_SPLIT, keep_token, tokens  # noqa: F401
 
 # BM25 parameters.
 BM25_K1 = 1.2
@@ -63,6 +63,13 @@ def top_tokens(df: DataFrame, text_col: str, n: int = 3, splitter: str = WORD_SP
             .limit(n))
 
 
+def all_tokens(df: DataFrame, text_col: str, least: int = MIN_TOKEN_LEN) -> DataFrame:
+    """``(keyword)``: every distinct token of ``text_col`` of at least
+    ``least`` characters."""
+    toks = df.select(F.explode(tokens(F.col(text_col))).alias("keyword"))
+    return toks.where(keep_token(F.col("keyword"), least)).distinct()
+
+
 def _lowered(text_cols: list[str]):
     """Lower-cased text of the columns; several columns are joined with a
     space (a separator), which pools their tokens."""
