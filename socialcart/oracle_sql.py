@@ -43,11 +43,12 @@ supported AS (SELECT id, kind, a AS who FROM both_bought UNION SELECT id, kind,
 named AS (SELECT campaign_id AS id, campaign_type AS kind, channel, topic FROM campaigns_v)"""
 
 
-def _q1(zero: str, even: bool = False) -> str:
+def _q1(zero: str, even: bool = False, messages: str = "messages_v") -> str:
+    sets = _Q1_SETS.replace("user_id AS who\n    FROM messages_v", f"CAST(user_id AS BIGINT) AS who\n    FROM {messages}")
     rate, share = (_pct_even("buyers", "people"), _pct_even("friendly", "buyers")) if even else \
         (_pct("buyers", "people", zero), _pct("friendly", "buyers", zero))
     by_number = "COALESCE(TRY_CAST(id AS BIGINT), 0) DESC, " if even else ""
-    return (sql_with("messages_v", "campaigns_v", "friends_v") + "," + _Q1_SETS + f""",
+    return (sql_with(messages, "campaigns_v", "friends_v") + "," + sets + f""",
 marks AS (
     SELECT id, kind, 1 AS people, 0 AS buyers, 0 AS friendly FROM reached
     UNION ALL SELECT id, kind, 0, 1, 0 FROM bought
@@ -172,9 +173,10 @@ _TOP20 = """
 
 def oracle() -> dict[str, str]:
     from socialcart.oracle_model import oracle as model_oracle
+    from socialcart.oracle_documents import oracle as document_oracle
     from socialcart.oracle_search import oracle as search_oracle
 
-    q = model_oracle() | search_oracle()
+    q = model_oracle() | search_oracle() | document_oracle()
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
     q["q1_document"] = _q1("0.0", even=True)

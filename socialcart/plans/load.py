@@ -135,25 +135,17 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root}/{n}") for n in names}
 
 
-# The nested groups of the document form of messages.
-CAMPAIGN_REF = ("campaign_id", "message_type", "campaign_key")
-ENGAGEMENT = tuple(f"is_{c}" for c in MESSAGE_FLAGS) + tuple(
-    c for c in MESSAGE_TIMES if c not in ("created_at", "updated_at"))
-
-
 def build_document(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Document form (C18–C19): messages with nested ``campaign_ref`` and
     ``engagement``, products with a lower-cased search text, events carrying
     the product attributes (products are a dimension: the join is planned by
     Spark, broadcast when small)."""
-    m = t["messages"].withColumn(
-        "campaign_key", TY.composite_key(F.col("campaign_id"), F.col("message_type")))
-    groups = {"campaign_ref": [c for c in CAMPAIGN_REF if c in m.columns],
-              "engagement": [c for c in ENGAGEMENT if c in m.columns]}
+    from socialcart.plans.documents import message_documents
+
     products = t["products"].withColumn(
         "category_search_text", TY.search_text(F.col("category_code"), F.col("brand")))
     events = t["events"].join(t["products"], "product_id", "left")
-    return {"messages": TY.nest(m, groups), "products": products, "events": events,
+    return {"messages": message_documents(t["messages"]), "products": products, "events": events,
             "users": t["users"], "clients": t["clients"], "campaigns": t["campaigns"],
             "friendships": t["friends"]}
 

@@ -115,10 +115,11 @@ def _doc_token_search(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from socialcart.registry_documents import QUERIES as document_queries
     from socialcart.registry_model import QUERIES as model_queries
     from socialcart.registry_search import QUERIES as search_queries
 
-    return {**_analysis_queries(), **model_queries, **search_queries}
+    return {**_analysis_queries(), **model_queries, **search_queries, **document_queries}
 
 
 def _analysis_queries() -> dict[str, Query]:
