@@ -174,9 +174,10 @@ _TOP20 = """
 def oracle() -> dict[str, str]:
     from socialcart.oracle_model import oracle as model_oracle
     from socialcart.oracle_documents import oracle as document_oracle
+    from socialcart.oracle_ingest import oracle as ingest_oracle
     from socialcart.oracle_search import oracle as search_oracle
 
-    q = model_oracle() | search_oracle() | document_oracle()
+    q = model_oracle() | search_oracle() | document_oracle() | ingest_oracle()
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
     q["q1_document"] = _q1("0.0", even=True)

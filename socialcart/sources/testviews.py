@@ -286,6 +286,11 @@ def _pick(key, values):
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message extract as all-text columns, with dirty spellings."""
     o = _read(spark, sf_dir, "orders")
+    return o.select(*raw_message_columns(o).values())
+
+
+def raw_message_columns(o: DataFrame) -> dict:
+    """The dirty message columns as expressions over the orders ``o``."""
     k = F.col("o_orderkey")
     ts = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -310,15 +315,10 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank_all = (k % 13) == 0
     def dirty(c):  # a row with every column missing, every 13th order
         return F.when(blank_all, F.lit("NA")).otherwise(c)
-    return o.select(
-        dirty(rid).alias("id"),
-        dirty(F.concat(F.lit("\t"), F.col("o_orderpriority"), F.lit("  "))).alias("message_type"),
-        dirty(_pick(k, BOOL_SPELLINGS)).alias("is_purchased"),
-        dirty(sent).alias("sent_at"),
-        dirty(price).alias("price"),
-        dirty(F.when(k % 7 == 0, _pick(k, MISSING_SPELLINGS))
-              .otherwise(F.col("o_orderstatus"))).alias("status"),
-    )
+    status = F.when(k % 7 == 0, _pick(k, MISSING_SPELLINGS)).otherwise(F.col("o_orderstatus"))
+    columns = {"id": rid, "message_type": F.concat(F.lit("\t"), F.col("o_orderpriority"), F.lit("  ")),
+               "is_purchased": _pick(k, BOOL_SPELLINGS), "sent_at": sent, "price": price, "status": status}
+    return {name: dirty(c).alias(name) for name, c in columns.items()}
 
 
 @_view
