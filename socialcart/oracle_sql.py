@@ -178,6 +178,7 @@ def oracle() -> dict[str, str]:
     from socialcart.oracle_search import oracle as search_oracle
 
     q = model_oracle() | search_oracle() | document_oracle() | ingest_oracle()
+    q["bucket_upsert"], q["snapshot_counts"] = q["incremental_upsert"], q["load_counts"]
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
     q["q1_document"] = _q1("0.0", even=True)

@@ -117,10 +117,12 @@ def _doc_token_search(spark, d):
 def queries() -> dict[str, Query]:
     from socialcart.registry_documents import QUERIES as document_queries
     from socialcart.registry_ingest import QUERIES as ingest_queries
+    from socialcart.registry_load import QUERIES as load_queries
     from socialcart.registry_model import QUERIES as model_queries
     from socialcart.registry_search import QUERIES as search_queries
 
-    return {**_analysis_queries(), **model_queries, **search_queries, **document_queries, **ingest_queries}
+    return {**_analysis_queries(), **model_queries, **search_queries, **document_queries, **ingest_queries,
+            **load_queries}
 
 
 def _analysis_queries() -> dict[str, Query]:

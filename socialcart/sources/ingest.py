@@ -13,8 +13,8 @@ the number of different headers (kinds of table), not the number of files:
 100,000 files of five extracts take seven jobs.  Files are split over tasks
 by Spark; one scan of the lines that start files finds the headers.
 
-Defined cases: an empty file and a file with a header alone appear in the
-metrics with zeros; short rows are padded with blanks; blank lines are
+Defined cases: a file with a header alone appears in the metrics with zeros, a
+file without bytes is not listed by Spark and so does not; short rows are padded with blanks; blank lines are
 skipped; header names are trimmed; a header with a name twice is refused; files
 are named by their URI.
 """
