@@ -313,6 +313,9 @@ WHERE m.campaign_id IS NOT NULL AND m.message_type IS NOT NULL AND NOT EXISTS (
 UNION ALL
 SELECT 'friends_user', COUNT(*) FROM friends_v f
 WHERE f.user_id IS NOT NULL AND f.user_id NOT IN (SELECT user_id FROM events_v)"""
+    from socialcart.oracle_checks import oracle as check_oracle
+
+    q |= check_oracle(clients_dim, _USERS)
     q["dq_schema"] = sql_with("products_v") + """
 SELECT 'products' AS table_name, field, rule, violations FROM (
     SELECT 'category_id' AS field, 'type int != string' AS rule, CAST(NULL AS BIGINT) AS violations

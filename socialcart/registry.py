@@ -115,6 +115,7 @@ def _doc_token_search(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from socialcart.registry_checks import QUERIES as check_queries
     from socialcart.registry_documents import QUERIES as document_queries
     from socialcart.registry_ingest import QUERIES as ingest_queries
     from socialcart.registry_load import QUERIES as load_queries
@@ -122,7 +123,7 @@ def queries() -> dict[str, Query]:
     from socialcart.registry_search import QUERIES as search_queries
 
     return {**_analysis_queries(), **model_queries, **search_queries, **document_queries, **ingest_queries,
-            **load_queries}
+            **load_queries, **check_queries}
 
 
 def _analysis_queries() -> dict[str, Query]:
