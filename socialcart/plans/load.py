@@ -157,13 +157,13 @@ def build_graph(t: dict[str, DataFrame], events_raw: DataFrame | None = None) ->
     from socialcart.operators import graph as G
 
     ev = t["events"]
-    cat_src = events_raw.select(_t("product_id").alias("product_id"),
-                                _t("category_id").alias("category_id"),
-                                _t("category_code").alias("category_code"),
-                                _t("brand").alias("brand"),
-                                F.monotonically_increasing_id().alias("_ord")) \
-        if events_raw is not None else \
-        t["products"].withColumn("_ord", F.monotonically_increasing_id())
+    if events_raw is None:
+        cat_src = t["products"].withColumn("_ord", F.col("product_id"))
+    else:
+        # "first" in time order; all columns break ties, so every run agrees
+        names = ["product_id", "category_id", "category_code", "brand"]
+        order = F.struct(*[_t(c) for c in ("event_time", "user_id", "user_session", "event_type", *names) if c in events_raw.columns])
+        cat_src = events_raw.select(*[_t(c).alias(c) for c in names], order.alias("_ord"))
     products = G.product_nodes(cat_src, "_ord")
     categories = G.category_nodes(cat_src, "_ord")
     has_client = G.has_client_edges(t["clients"], t["messages"])

@@ -10,13 +10,12 @@ with category code and brand when the product is known.
 Plan shape:
 
 * targets: partial aggregate + ``TakeOrderedAndProject`` → at most
-  ``n_targets`` rows, broadcast (bound proven by the limit), persisted so
-  every branch shares one computation.
+  ``n_targets`` rows (bound proven by the limit), computed once and used by
+  every branch as a local table.
 * the edge table is scanned once, broadcast-joined to the targets (no
   shuffle of the edges).
 * roles = (target, friend, self=false) ∪ (target, target, self=true),
-  broadcast after a row check (persisted, so the check and the query share
-  one computation).  The event scan joins them map-side — filter to users
+  broadcast after a row check (nothing is cached, so nothing is left behind).  The event scan joins them map-side — filter to users
   of interest and fan-out to their targets in one step — and partial
   aggregation per (target, product) combines the rows before the one
   shuffle of event data.  Above the bound, events are semi-joined and
@@ -119,14 +118,15 @@ def recommendations(events: DataFrame, friends: DataFrame, products: DataFrame,
     (target, product) then gives the friend scores and the own-product flag
     together, so the NOT EXISTS needs no second pass over the events.
     """
-    targets = top_active_users(events, n_targets, activity_types).select("user_id")
-    targets = targets.persist()  # ≤ n_targets rows, shared by every branch below
+    top = top_active_users(events, n_targets, activity_types).select("user_id")
+    # ≤ n_targets rows, computed once and shared by every branch below
+    targets = events.sparkSession.createDataFrame(top.collect(), top.schema)
     tf = target_friends(friends, targets, dedupe_edges)
     roles = tf.select("target_user_id", F.col("friend_id").alias("user_id"),
                       F.lit(False).alias("is_self")).unionByName(
         targets.select(F.col("user_id").alias("target_user_id"), "user_id",
                        F.lit(True).alias("is_self")))
-    roles, small = checked_broadcast(roles, broadcast_max_rows, reuse=True)
+    roles, small = checked_broadcast(roles, broadcast_max_rows)
     if small:
         # map-side: the broadcast join filters the events to users of interest
         # and fans them out to their targets; partial aggregation per

@@ -50,8 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset (local tests) a fresh scratch folder is created and
-    registered, so ``DataFrame.checkpoint()`` and streaming checkpoints work.
+    Only when it is unset and the master is local (tests) a fresh scratch folder
+    is created and registered, so ``DataFrame.checkpoint()`` and streaming
+    checkpoints work; on a cluster executors would not share it, so that fails.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()  # set from spark.checkpoint.dir at start-up
@@ -59,7 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        # local runs only: a scratch folder of our own
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         path = tempfile.mkdtemp(prefix="socialcart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

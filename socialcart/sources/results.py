@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,28 +29,28 @@ def write_result(df: DataFrame, path: str, query: str, database: str = "spark")
 
 def result_summary(spark: SparkSession, summary_paths: list[str], databases: list[str],
                    queries: list[str]) -> DataFrame:
-    """One row per (database, query) over the summary files that exist;
-    a missing file is skipped, a missing (database, query) gives NULLs."""
-    grid = spark.createDataFrame([(d, q) for d in databases for q in queries],
-                                 "database string, query string")
-    found = None
+    """One row per (database, query) of the databases that have a result
+    file; a missing file is skipped, and so is a database without any, while a
+    query that its files lack gives NULLs."""
+    schema = "database string, query string, execution_time_sec double, row_count bigint"
     existing = [p for p in summary_paths if _exists(spark, p)]
-    if existing:
-        found = spark.read.schema("database string, query string, execution_time_sec double, "
-                                  "row_count bigint").json(existing)
-    if found is None:
-        return grid.select("database", "query", F.lit(None).cast("double").alias("execution_time_sec"),
-                           F.lit(None).cast("bigint").alias("row_count"))
+    found = spark.read.schema(schema).json(existing) if existing else spark.createDataFrame([], schema)
+    grid = spark.createDataFrame([(d, q) for d in databases for q in queries], "database string, query string")
+    # one row a query and system: a few rows
+    grid = grid.join(F.broadcast(found.select("database").distinct()), "database", "left_semi")
     return grid.join(found, ["database", "query"], "left")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds at least one JSON file (file listing only)."""
+    """True when ``path`` holds at least one JSON file (file listing only);
+    only a missing path counts as none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
     try:
-        return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-                    .load(path).select("path").limit(1).collect())
-    except Exception:  # noqa: BLE001 - a missing path is the expected case
-        return False
+        return bool(files.load(path).select("path").limit(1).collect())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_timings(spark: SparkSession, rows: list[tuple[str, int, float, str]], path: str) -> DataFrame:

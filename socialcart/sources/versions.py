@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Versions:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, name: str = "version"):
+        self.spark, self.path, self.name = spark, path, name
 
     def latest(self) -> int:
         """The newest version, -1 if there is none.  Only a missing folder
@@ -25,11 +25,11 @@ class Versions:
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return -1
             raise
-        found = [int(m[1]) for f in files if (m := re.search(r"/version=(\d+)/", f))]
+        found = [int(m[1]) for f in files if (m := re.search(rf"/{self.name}=(\d+)/", f))]
         return max(found, default=-1)
 
     def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/version={version}")
+        return self.spark.read.parquet(f"{self.path}/{self.name}={version}")
 
     def commit(self, version: int, rows: DataFrame) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{self.name}={version}")

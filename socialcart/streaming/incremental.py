@@ -23,13 +23,13 @@ to the batch, not to the table.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialcart.session import checkpoint_root
+from socialcart.sources.versions import Versions
 
 
 def write_chunks(df: DataFrame, path: str, rows_per_chunk: int = 10_000) -> None:
@@ -45,31 +45,22 @@ def load_increments(spark: SparkSession, source: str, schema, log_dir: str,
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .format(fmt).load(source))
 
+    applied: list[int] = []  # Spark itself reports the last 100 batches only
+
     def apply(batch: DataFrame, batch_id: int) -> None:
+        applied.append(batch_id)
         batch.write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    return len(set(applied))
 
 
 def _latest_base(spark: SparkSession, base_dir: str | None):
     """(rows of the newest compacted base, last batch it covers) or (None, -1)."""
-    if not base_dir:
-        return None, -1
-    try:
-        bases = spark.read.parquet(base_dir)
-    except Exception:  # noqa: BLE001 - no compaction written yet
-        return None, -1
-    # the newest version from the partition paths of the file index
-    # (file metadata only, no data scan)
-    versions = [int(m.group(1)) for f in bases.inputFiles()
-                if (m := re.search(r"/upto=(\d+)/", f))]
-    if not versions:
-        return None, -1
-    upto = max(versions)
-    return bases.where(F.col("upto") == upto).drop("upto"), int(upto)
+    upto = Versions(spark, base_dir, "upto").latest() if base_dir else -1
+    return (spark.read.parquet(f"{base_dir}/upto={upto}"), upto) if upto >= 0 else (None, -1)
 
 
 def current_state(spark: SparkSession, log_dir: str, key: list[str], order: str,

@@ -89,7 +89,7 @@ def test_result_json_and_summary(spark, tmp_dir):
                                              os.path.join(tmp_dir, "empty", "summary")],
                                      ["spark", "other"], ["q1", "q2"])
     got = {(r["database"], r["query"]): r["row_count"] for r in summary.collect()}
-    assert got[("spark", "q1")] == 7 and got[("spark", "q2")] is None and len(got) == 4
+    assert got[("spark", "q1")] == 7 and got[("spark", "q2")] is None and len(got) == 2
     rows = [json.loads(line) for p in os.listdir(os.path.join(tmp_dir, "q1", "rows"))
             if p.endswith(".json") for line in open(os.path.join(tmp_dir, "q1", "rows", p))]
     assert sorted(r["n"] for r in rows) == list(range(7))
