@@ -182,6 +182,9 @@ def oracle() -> dict[str, str]:
     q["q1_campaign_conversion"] = _q1("NULL")
     q["q1_zero_share"] = _q1("0.0")
     q["q1_document"] = _q1("0.0", even=True)
+    q["q1_hub"] = _q1("NULL").replace("FROM friends_v)", """FROM (
+        SELECT * FROM friends_v UNION ALL SELECT (SELECT min(c_custkey) FROM customer), c_custkey FROM customer)
+    WHERE user_id <> friend_id)""")
     sets = sql_with("messages_v", "campaigns_v", "friends_v") + "," + _Q1_SETS
     q["campaign_user_stats"] = sets + """
 SELECT id AS campaign_id, kind AS message_type, channel, topic, who AS user_id, b.who IS NOT NULL AS did_purchase

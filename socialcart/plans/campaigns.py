@@ -26,6 +26,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from socialcart.operators.hub_join import supported_buyers
 from socialcart.operators.joins import bounded_broadcast, hot_keys, salted_join, undirected
 
 CAMPAIGN_KEY = ["campaign_id", "message_type"]
@@ -81,14 +82,18 @@ def buyer_edges(friends: DataFrame, buyer_users: DataFrame) -> DataFrame:
 
 
 def social_purchasers(cu: DataFrame, friends: DataFrame, salt_buckets: int = 0,
-                      hot_min_rows: int = 1_000_000) -> DataFrame:
+                      hot_min_rows: int = 1_000_000, by_degree: bool = False) -> DataFrame:
     """Q1-d/e: purchasers with at least one friend who purchased in the same
     campaign → distinct ``(campaign_id, message_type, user_id)``.
 
     ``salt_buckets > 1`` splits users with at least ``hot_min_rows`` edges
     over that many tasks in the edge fan-out join (explicit salting, for
-    clusters without AQE skew handling); otherwise AQE splits hot users."""
+    clusters without AQE skew handling); ``by_degree`` orders every pair by
+    the degrees of its ends instead (``operators.hub_join``), which needs no
+    setting; otherwise AQE splits hot users."""
     buyers = cu.where("did_purchase").select(*CAMPAIGN_KEY, "user_id")
+    if by_degree:
+        return supported_buyers(buyers, buyer_edges(friends, buyers.select("user_id").distinct()), CAMPAIGN_KEY)
     edges = undirected(buyer_edges(friends, buyers.select("user_id").distinct()),
                        "user_id", "friend_id")
     if salt_buckets > 1:
@@ -104,7 +109,7 @@ def social_purchasers(cu: DataFrame, friends: DataFrame, salt_buckets: int = 0,
 def campaign_conversion(messages: DataFrame, campaigns: DataFrame, friends: DataFrame,
                         top_n: int | None = 20, zero_as_null: bool = True,
                         rounding: str = "half_up", tie_break: str = "key",
-                        salt_buckets: int = 0, hot_min_rows: int = 1_000_000) -> DataFrame:
+                        salt_buckets: int = 0, hot_min_rows: int = 1_000_000, by_degree: bool = False) -> DataFrame:
     """Q1: the full report, best conversion first (top ``top_n``).
 
     ``tie_break='key'`` orders remaining ties by (campaign_id, message_type);
@@ -114,7 +119,7 @@ def campaign_conversion(messages: DataFrame, campaigns: DataFrame, friends: Data
     counts = cu.groupBy(*CAMPAIGN_KEY).agg(
         F.count(F.lit(1)).alias("recipients"),
         F.count_if(F.col("did_purchase")).alias("purchasers"))
-    social = (social_purchasers(cu, friends, salt_buckets, hot_min_rows)
+    social = (social_purchasers(cu, friends, salt_buckets, hot_min_rows, by_degree)
               .groupBy(*CAMPAIGN_KEY).agg(F.count(F.lit(1)).alias("social_purchasers")))
     dim = campaigns.select(F.col("campaign_id"), F.col("campaign_type").alias("message_type"),
                            "channel", "topic")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from socialcart.plans import campaigns as q1
 from socialcart.plans import recommend as q2
@@ -29,6 +30,17 @@ def _q1_document(spark, d):
                                   rounding="half_even", tie_break="numeric_desc")
 
 
+def hub_friends(spark, d):
+    """The friendships and a hub: the first customer is a friend of all."""
+    c = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey")
+    hub = c.agg(F.min("c_custkey").alias("user_id"))
+    return tv.friends(spark, d).unionByName(c.select(hub.scalar().alias("user_id"), F.col("c_custkey").alias("friend_id")))
+
+
+def _q1_hub(spark, d):
+    return q1.campaign_conversion(tv.messages(spark, d), tv.campaigns(spark, d), hub_friends(spark, d), by_degree=True)
+
+
 def _campaign_user_stats(spark, d):
     return q1.campaign_user_stats(tv.messages(spark, d), tv.campaigns(spark, d))
 
@@ -131,6 +143,7 @@ def _analysis_queries() -> dict[str, Query]:
         "q1_campaign_conversion": _q1_campaign_conversion,
         "q1_zero_share": _q1_zero_share,
         "q1_document": _q1_document,
+        "q1_hub": _q1_hub,
         "campaign_user_stats": _campaign_user_stats,
         "social_purchasers": _social_purchasers,
         "friends_edges": _friends_edges,
