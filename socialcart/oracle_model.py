@@ -249,6 +249,10 @@ WHERE k NOT IN (SELECT campaign_id || '|' || campaign_type FROM campaigns_v)"""
 SELECT f.user_id, f.friend_id FROM friends_v f
 WHERE f.user_id IN (SELECT user_id FROM users) AND f.friend_id IN (SELECT user_id FROM users)"""
     q["campaign_helper_edges"] = base + "," + _HELPERS + "\nSELECT * FROM helpers"
+    q["helper_deltas"] = base + """,
+latest AS (SELECT * FROM messages_v
+           QUALIFY row_number() OVER (PARTITION BY row_id // 2 ORDER BY row_id DESC) = 1),""" + _HELPERS.replace(
+        "messages_v", "latest") + "\nSELECT * FROM helpers"
     q["helper_counts"] = base + "," + _HELPERS + """
 SELECT h.received_campaign_edges, h.purchased_campaign_edges, m.min_row_id, m.max_row_id,
        m.message_count

@@ -12,6 +12,7 @@ from socialcart.plans import stats as B
 from socialcart.session import checkpoint_root
 from socialcart.sources import testviews as tv
 from socialcart.streaming.bucket_table import BucketTable, stream_upserts
+from socialcart.streaming.helper_deltas import helper_edges_by_deltas
 from socialcart.streaming.incremental import write_chunks
 
 
@@ -45,4 +46,11 @@ def snapshot_counts(spark, d):
     return B.load_counts(S.open_snapshot(spark, root))
 
 
-QUERIES = {"bucket_upsert": bucket_upsert, "snapshot_counts": snapshot_counts}
+def helper_deltas(spark, d):
+    """Two versions of most messages, the later ones with other purchase
+    flags, users and campaigns, applied in batches in no order."""
+    versions = tv.messages(spark, d).withColumn("message_id", F.expr("row_id div 2")).withColumn("ord", F.col("row_id"))
+    return helper_edges_by_deltas(versions, tv.clients(spark, d), batches=2)
+
+
+QUERIES = {"helper_deltas": helper_deltas, "bucket_upsert": bucket_upsert, "snapshot_counts": snapshot_counts}

@@ -36,8 +36,12 @@ BUCKETS = 32
 
 
 class BucketTable:
-    def __init__(self, spark: SparkSession, path: str, schema, key: list[str], order: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, schema, key: list[str], order: str, buckets: int = BUCKETS,
+                 bucket_by: list[str] | None = None):
+        """``bucket_by``: the part of the key that chooses the bucket, so that
+        rows can be looked up by it (default: the whole key)."""
         self.spark, self.path, self.schema, self.key, self.order, self.buckets = spark, path, schema, key, order, buckets
+        self.bucket_by = bucket_by or key
         self.manifest = Versions(spark, f"{path}/manifest")
 
     def _latest(self, rows: DataFrame) -> DataFrame:
@@ -54,12 +58,19 @@ class BucketTable:
         return rows
 
     def _bucket(self):
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def read(self) -> DataFrame:
-        """The current rows."""
+    def read(self, before: int | None = None, like: DataFrame | None = None) -> DataFrame:
+        """The current rows, or those from before batch ``before``; with
+        ``like`` only the buckets that its ``bucket_by`` columns fall into."""
         version = self.manifest.latest()
-        entries = self.manifest.read(version).where("bucket >= 0").collect() if version >= 0 else []
+        entries = self.manifest.read(version).collect() if version >= 0 else []
+        if entries and before is not None and entries[0]["batch_id"] >= before:
+            entries = self.manifest.read(version - 1).collect() if version else []
+        entries = [e for e in entries if e["bucket"] >= 0]
+        if like is not None and entries:
+            asked = {r["b"] for r in like.select(self._bucket().alias("b")).distinct().collect()}
+            entries = [e for e in entries if e["bucket"] in asked]
         return self._load(entries)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> int:
