@@ -195,6 +195,7 @@ SELECT id AS campaign_id, kind AS message_type, who AS user_id FROM supported SE
     q["top_active_users"] = (sql_with("events_v") + """
 SELECT user_id, COUNT(*) AS activity FROM events_v GROUP BY user_id
 ORDER BY activity DESC, user_id LIMIT 100""")
+    q["top_users_threshold"] = q["top_active_users"]
     q["q2_recommendations"] = q2_sql() + _Q2_SELECT
     q["q2_array_topk"] = q2_sql() + _Q2_SELECT
     q["q2_graph"] = (q2_sql(activity=f"WHERE event_type IN {_GRAPH_TYPES}",

@@ -78,6 +78,12 @@ def _top_active_users(spark, d):
     return q2.top_active_users(tv.events(spark, d))
 
 
+def _top_users_threshold(spark, d):
+    from socialcart.operators.threshold_topk import top_counts
+
+    return top_counts(tv.events(spark, d), "user_id", 100)
+
+
 def _recs(spark, d):
     return q2.recommendations(tv.events(spark, d), tv.friends(spark, d), tv.products(spark, d))
 
@@ -148,6 +154,7 @@ def _analysis_queries() -> dict[str, Query]:
         "social_purchasers": _social_purchasers,
         "friends_edges": _friends_edges,
         "top_active_users": _top_active_users,
+        "top_users_threshold": _top_users_threshold,
         "q2_recommendations": _q2(),
         "q2_array_topk": _q2(method="array"),
         "q2_graph": _q2_graph,
