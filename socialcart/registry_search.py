@@ -27,7 +27,7 @@ def _index_search(score: str, field: str = ""):
         p = tv.products(spark, d)
         recs = q2.recommendations(tv.events(spark, d), tv.friends(spark, d), p)
         keywords = q3.all_tokens(recs, "category_code", 1).unionByName(_benchmark_tokens(spark, d)).distinct()
-        index = build_index(p, "product_id", ["category_code", "brand"], _folder(spark, "token-index"))
+        index = build_index(p, "product_id", ["category_code", "brand"], _folder(spark, "token-index"), buckets=16)
         return index.search(keywords, field, score, id_name="product_id")
     return run
 
@@ -35,7 +35,7 @@ def _index_search(score: str, field: str = ""):
 def doc_index_search(spark, d):
     """The 20 best documents by BM25 for each token of the benchmark."""
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    index = build_index(docs, "doc_id", ["text"], _folder(spark, "token-index"))
+    index = build_index(docs, "doc_id", ["text"], _folder(spark, "token-index"), buckets=16)
     return index.search(_benchmark_tokens(spark, d, 3), "text", "bm25", per_keyword=20, id_name="doc_id")
 
 
@@ -44,7 +44,7 @@ def q3_gram_search(spark, d):
     whatever its length."""
     p = tv.products(spark, d)
     keywords = _benchmark_tokens(spark, d).unionByName(q3.all_tokens(p, "brand", 1)).distinct()
-    return build_gram_index(p, "product_id", "category_code", _folder(spark, "gram-index")).search(keywords, "product_id")
+    return build_gram_index(p, "product_id", "category_code", _folder(spark, "gram-index"), buckets=16).search(keywords, "product_id")
 
 
 QUERIES = {
