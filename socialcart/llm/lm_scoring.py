@@ -11,17 +11,19 @@ the vocabulary grows with the corpus, so it is never broadcast:
    counts and answers each chunk for its words.  The traffic is one entry per
    chunk and distinct word, not per document and word.
 3. Bigrams of the training documents, added up in each chunk first, go to
-   segments, too; a segment keeps those seen ``CUTOFF`` times and fills its
-   part of the filter, BITS_PER_ENTRY bits for each entry.  The filter is cut
-   into blocks of segments of at most ``MAX_FILTER_BYTES``, the bound of what is
-   broadcast; their number grows with the corpus, the cut-off does not.  All
-   counts cover the whole training part.
+   segments, too; a segment fills its part of the filter with all of them,
+   those seen once included, BITS_PER_ENTRY bits for each entry.  The filter is
+   cut into blocks of segments of at most ``MAX_FILTER_BYTES``, the bound of
+   what is broadcast; their number grows with the corpus.  All counts cover
+   the whole training part.
 4. Chunk by chunk, coded tokens meet their exact counts, bigrams are probed,
-   and P(w|v) = g * c(vw) / c(v) + (1 - g) * P(w) with the base's P(w) and
-   g = WEIGHT * min(1, c(v) / SURE), 0 where c(v) < CUTOFF; the filter's c(vw)
-   is held to c(v) and c(w) at most.  With several blocks, chunks first write
-   their distinct bigrams by block; block after block is broadcast and probed
-   with its own bigrams only, and chunks get the levels found back.
+   and P(w|v) = (c(vw) + T(v) P(w)) / (c(v) + T(v)) with the base's P(w), or
+   P(w) where c(v) = 0: Witten-Bell smoothing.  T(v), the number of distinct
+   followers, is taken as c(v) ** b; b is the exponent for which the sum over
+   all words is the number of distinct bigrams.  The filter's c(vw) is held
+   to c(v) and c(w) at most.  With several blocks, chunks first write their
+   distinct bigrams by block; block after block is broadcast and probed with
+   its own bigrams only, and chunks get the levels found back.
 
 Segments grow with the input (``SEGMENT_BYTES`` of text each), so none outgrows
 a task.  Defined cases: null text is empty and has the end token alone; a null
@@ -47,8 +49,8 @@ from socialcart.session import checkpoint_root
 
 from .common import find_package, map_arrow, scratch_table
 from .language_id import fold
-from .ngrams import (BITS_PER_ENTRY, CUTOFF, CountFilter, bigram_keys, fill_segment, level, level_counts, pack, pack_sorted, unpack,
-                     unpack_sorted)
+from .ngrams import (BITS_PER_ENTRY, LEVELS, CountFilter, bigram_keys, fill_segment, followers_exponent, histogram, level, level_counts,
+                     pack, pack_sorted, unpack, unpack_sorted)
 from .shingles import WordHasher
 
 CHUNK_TOKENS = 2_000_000
@@ -56,8 +58,6 @@ BLOCK_TOKENS = 100_000  # scored at once
 SEGMENT_BYTES = 16_000_000
 MAX_SEGMENTS = 4096
 MAX_FILTER_BYTES = 2 ** 27
-WEIGHT = 0.2
-SURE = 20  # contexts seen so often have the full weight
 ALPHA = 0.1
 END = b""
 
@@ -132,7 +132,7 @@ def code(docs: DataFrame, segments: int) -> DataFrame:
 def exact_counts(words: DataFrame) -> DataFrame:
     """(chunk, seg, hashes, counts) → the same with the counts of the whole
     training part, and on one row per segment how many distinct words with a
-    count (``v``) and tokens (``t``) it has."""
+    count (``v``) and tokens (``t``) it has, by levels of the count."""
     def add_up(table: pa.Table) -> pa.Table:
         hashes = [unpack_sorted(x.as_py(), np.uint64) for x in table["hashes"]]
         counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in table["counts"]])
@@ -140,19 +140,20 @@ def exact_counts(words: DataFrame) -> DataFrame:
         total = np.bincount(at, weights=counts, minlength=len(every)).astype(np.uint64)
         cuts = np.cumsum([0, *map(len, hashes)])
         answer = [pack(total[at[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        first = [1] + [0] * (table.num_rows - 1)
+        none = [None] * (table.num_rows - 1)
+        number, tokens = histogram(total)
         return pa.table({"chunk": table["chunk"], "seg": table["seg"], "hashes": table["hashes"],
                          "counts": pa.array(answer, pa.binary()),
-                         "v": pa.array([int((total > 0).sum()) * f for f in first], pa.int64()),
-                         "t": pa.array([int(total.sum()) * f for f in first], pa.int64())})
+                         "v": pa.array([number, *none], pa.list_(pa.int64())),
+                         "t": pa.array([tokens, *none], pa.list_(pa.int64()))})
 
     find_package(words.sparkSession)
-    return words.groupBy("seg").applyInArrow(add_up, "chunk long, seg int, hashes binary, counts binary, v long, t long")
+    return words.groupBy("seg").applyInArrow(add_up, "chunk long, seg int, hashes binary, counts binary, v array<long>, t array<long>")
 
 
 def bigram_counts(train: DataFrame, segments: int) -> DataFrame:
-    """(text) → (seg, keys, counts) of bigrams seen CUTOFF times or more, one
-    row per segment, with how many entries they make and the largest count."""
+    """(text) → (seg, keys, counts) of all bigrams, one row per segment, with
+    how many they are, how many entries they make and the largest count."""
     def collect(batches):
         hasher = WordHasher()
         held, size = [], 0
@@ -183,16 +184,14 @@ def bigram_counts(train: DataFrame, segments: int) -> DataFrame:
         counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in table["counts"]])
         every, at = np.unique(keys, return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(every)).astype(np.uint32)
-        every, total = every[total >= CUTOFF], total[total >= CUTOFF]
-        entries = int((level(total) - level(np.array([CUTOFF])) + 1).sum())
         return pa.table({"seg": pa.array([table["seg"][0].as_py()], pa.int32()),
                          "keys": pa.array([pack_sorted(every)], pa.binary()), "counts": pa.array([pack(total)], pa.binary()),
-                         "entries": pa.array([entries], pa.int64()),
+                         "distinct": pa.array([len(every)], pa.int64()), "entries": pa.array([int(level(total).sum())], pa.int64()),
                          "top": pa.array([int(total.max(initial=1))], pa.int64())})
 
     coded = map_arrow(train.select(F.col("text").cast("binary")), collect, "seg int, keys binary, counts binary")
     return coded.groupBy("seg").applyInArrow(
-        add_up, "seg int, keys binary, counts binary, entries long, top long")
+        add_up, "seg int, keys binary, counts binary, distinct long, entries long, top long")
 
 
 class Layout(NamedTuple):
@@ -239,14 +238,14 @@ def build_filter(bigrams: DataFrame, layout: Layout, block: int) -> CountFilter:
                 own = layout.places(s, keys) >> np.uint64(32)
                 for p in range(max(lo, s * parts), min(hi, (s + 1) * parts)):
                     part.append(p)
-                    bits.append(fill_segment(p, keys[own == p], counts[own == p], CUTOFF, size).tobytes())
+                    bits.append(fill_segment(p, keys[own == p], counts[own == p], size).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
 
     own = bigrams.where(F.col("seg").between(lo // parts, (hi - 1) // parts)).select("seg", "keys", "counts")
     table = np.zeros(size * (hi - lo), np.uint64)
     for r in map_arrow(own, fill, "part int, bits binary").toLocalIterator():
         table[(r.part - lo) * size:(r.part - lo + 1) * size] = np.frombuffer(r.bits, np.uint64)
-    return CountFilter(table, hi - lo, CUTOFF, layout.top, lo)
+    return CountFilter(table, hi - lo, layout.top, lo)
 
 
 def _word_counts(words: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +319,7 @@ def found_levels(texts: DataFrame, words: DataFrame, bigrams: DataFrame, layout:
     return spark.read.schema("chunk long, block int, levels binary").parquet(found)
 
 
-def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = WEIGHT, id_col: str = "doc_id",
+def score(docs: DataFrame, folds: int = 10, held_out: int = 0, id_col: str = "doc_id",
           text_col: str = "text", max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), folds) == held_out).alias("held_out"),
@@ -329,8 +328,13 @@ def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = W
     segments = min(MAX_SEGMENTS, max(16, -(-size // SEGMENT_BYTES)))
     coded = scratch_table(code(own, segments), "coded")
     counts = scratch_table(exact_counts(coded.where("seg is not null").select("chunk", "seg", "hashes", "counts")), "counts")
-    v, t = (x or 0 for x in counts.agg(F.sum("v"), F.sum("t")).first())
+    levels = counts.where("v is not null").select(F.posexplode(F.arrays_zip("v", "t")).alias("q", "x")).where("x.v > 0")
+    number, tokens = np.zeros((2, LEVELS), np.int64)
+    for r in levels.groupBy("q").agg(F.sum("x.v").alias("v"), F.sum("x.t").alias("t")).collect():  # a row a level
+        number[r.q], tokens[r.q] = r.v, r.t
+    v, t = int(number.sum()), int(tokens.sum())
     bigrams = scratch_table(bigram_counts(own.where(~F.col("held_out")), segments), "bigrams")
+    exponent = followers_exponent(number, tokens, bigrams.agg(F.sum("distinct")).first()[0] or 0)
     layout = filter_layout(bigrams, segments, max_filter_bytes)
     texts = coded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
     words = counts.select("chunk", "seg", "hashes", "counts")
@@ -353,6 +357,7 @@ def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = W
             found = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_py(), np.uint8) for x in levels["levels"])])
         count = count.astype(np.float64)
         p = (count + ALPHA) / norm
+        followers = np.where(count > 0, np.maximum(count, 1) ** exponent, 1.0)
         # a unigram's logarithm is taken from the count alone, as in the base's formula
         log_p, known = np.log10(p), count > 0
         out = []
@@ -364,8 +369,8 @@ def score(docs: DataFrame, folds: int = 10, held_out: int = 0, weight: float = W
             else:
                 pair = sent.value.counts(hashes[before], hashes[ids])
             pair = np.minimum(pair, np.minimum(context, count[ids]))
-            g = np.where(context < CUTOFF, 0.0, weight * np.minimum(1.0, context / SURE))
-            smooth = g * pair / np.maximum(context, 1) + (1 - g) * p[ids]
+            distinct = followers[before]
+            smooth = (pair + distinct * p[ids]) / (context + distinct)
             add = [np.add.reduceat(x, first) for x in (known[ids].astype(np.int64), log_p[ids], np.log10(smooth))]
             out.extend(zip(sizes, *add, strict=True))
 

@@ -17,9 +17,9 @@ import numpy as np
 from .shingles import mix
 
 BASE = 1.5
-CUTOFF = 2  # bigrams seen less often are left to the unigrams
-BITS_PER_ENTRY = 10
-PROBES = 4
+BITS_PER_ENTRY = 14
+PROBES = 5
+LEVELS = 112  # a count of 64 bits is at level 112 at most
 
 _U = np.uint64
 
@@ -64,21 +64,42 @@ def level_counts(top: int) -> np.ndarray:
     return np.array(out)
 
 
+def histogram(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(how many counts, their sum) for each level; zeros are left out."""
+    counts = counts[counts > 0]
+    q = level(counts)
+    return (np.bincount(q, minlength=LEVELS).astype(np.int64),
+            np.rint(np.bincount(q, weights=counts, minlength=LEVELS)).astype(np.int64))
+
+
+def followers_exponent(number: np.ndarray, total: np.ndarray, bigrams: int) -> float:
+    """The b in [0, 1] for which counts c, given by their histogram, have
+    ``bigrams`` as the sum of c ** b: a word seen c times is then expected to
+    have c ** b distinct followers."""
+    some = number > 0
+    number, mean = number[some], total[some] / number[some]
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        mid = (low + high) / 2
+        low, high = (mid, high) if (number * mean ** mid).sum() < bigrams else (low, mid)
+    return low
+
+
 def _places(segment, key: np.ndarray, q: int, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(word inside the segment, bits) of the entries (key, level q)."""
     h = mix((np.asarray(segment).astype(np.uint64) << _U(32) | key.astype(np.uint64)) + mix(np.array([q], np.uint64)))
+    g = mix(h)
     bits = np.zeros(len(key), np.uint64)
     for i in range(PROBES):
-        bits |= _U(1) << ((h >> _U(40 + 6 * i)) & _U(63))
-    return ((h & _U((1 << 40) - 1)) % _U(words)).astype(np.int64), bits
+        bits |= _U(1) << ((g >> _U(6 * i)) & _U(63))
+    return (h % _U(words)).astype(np.int64), bits
 
 
-def fill_segment(segment: int, keys: np.ndarray, counts: np.ndarray, cutoff: int, words: int) -> np.ndarray:
-    """The words of one segment, holding keys with ``cutoff`` or more."""
+def fill_segment(segment: int, keys: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
+    """The words of one segment, holding keys with counts of 1 or more."""
     out = np.zeros(words, np.uint64)
-    q = level(np.maximum(counts, 1))
-    q[counts < cutoff] = 0
-    for j in range(int(level(np.array([cutoff]))[0]), int(q.max(initial=0)) + 1):
+    q = level(counts)
+    for j in range(1, int(q.max(initial=0)) + 1):
         at, bits = _places(segment, keys[q >= j], j, words)
         np.bitwise_or.at(out, at, bits)
     return out
@@ -87,10 +108,9 @@ def fill_segment(segment: int, keys: np.ndarray, counts: np.ndarray, cutoff: int
 class CountFilter:
     """Segments side by side: all of them, or those from ``start`` on."""
 
-    def __init__(self, table: np.ndarray, segments: int, cutoff: int, top: int, start: int = 0):
+    def __init__(self, table: np.ndarray, segments: int, top: int, start: int = 0):
         self.table, self.segments, self.top, self.start = table, segments, top, start
         self.words = len(table) // segments
-        self.first = int(level(np.array([cutoff]))[0])
         self.expected = level_counts(top)
 
     def counts(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -101,7 +121,7 @@ class CountFilter:
         """The levels of keys of the segments held here; 0 if not held."""
         found = np.zeros(len(key), np.int64)
         alive = np.arange(len(key))
-        for q in range(self.first, self.top + 1):
+        for q in range(1, self.top + 1):
             if not len(alive):
                 break
             at, bits = _places(segment[alive], key[alive], q, self.words)

@@ -6,7 +6,8 @@ import numpy as np
 
 from socialcart.llm import lm_scoring, queries
 from socialcart.llm.lm_scoring import score
-from socialcart.llm.ngrams import BASE, CountFilter, bigram_keys, fill_segment, level, level_counts, pack, pack_sorted, unpack, unpack_sorted
+from socialcart.llm.ngrams import (BASE, CountFilter, bigram_keys, fill_segment, followers_exponent, histogram, level, level_counts, pack,
+                                   pack_sorted, unpack, unpack_sorted)
 from socialcart.llm.shingles import WordHasher
 from tests.conftest import SF_SMALL
 
@@ -40,19 +41,49 @@ def test_query_against_brute_force(spark):
     two = Counter(p for d, t in rows if not _held(d) for p in zip([b"", *_words(t)], _words(t), strict=False))
     norm = sum(uni.values()) + 0.1 * (len(uni) + 1)
     expected = level_counts(60)
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        b = (low + high) / 2
+        low, high = (b, high) if sum(c ** b for c in uni.values()) < len(two) else (low, b)
 
     def p(v, w):
-        g = 0 if uni[v] < 2 else 0.2 * min(1, uni[v] / 20)
-        pair = expected[level(np.array([two[v, w]]))[0]] if two[v, w] >= 2 else 0
-        return g * min(pair, uni[v], uni[w]) / max(uni[v], 1) + (1 - g) * (uni[w] + 0.1) / norm
+        base = (uni[w] + 0.1) / norm
+        if not uni[v]:
+            return base
+        pair = expected[level(np.array([two[v, w]]))[0]] if two[v, w] else 0
+        return (min(pair, uni[v], uni[w]) + uni[v] ** b * base) / (uni[v] + uni[v] ** b)
 
     want = {d: sum(math.log10(p(v, w)) for v, w in zip([b"", *_words(t)], _words(t), strict=False)) for d, t in rows}
     off = [r.score - want[r.doc_id] for r in got]
-    assert min(off) > -1e-6 and np.mean(off) < 0.02 * -np.mean(list(want.values()))  # a false hit only adds
+    # counts of a level stand for their mean in b, so b differs a little; a false hit only adds
+    assert min(x / -want[r.doc_id] for x, r in zip(off, got, strict=True)) > -1e-3
+    assert np.mean(off) < 0.01 * -np.mean(list(want.values()))
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_a_second_copy_raises_the_score(spark):
+    """Bigrams seen once are in the model, so a second training copy shows."""
+    train = [i for i in range(400) if not _held(i)]
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 60))) for i in train]
+    again = [(1000 + i, t) for i, t in rows if i < 40 and not _held(1000 + i)]
+    once, twice = ({r.doc_id: r.score for r in score(spark.createDataFrame(x, "doc_id long, text string")).collect()}
+                   for x in (rows, rows + again))
+    copied = {d - 1000 for d, _ in again}
+    assert min(twice[d] - once[d] for d in copied) > 5
+    assert max(abs(twice[d] - once[d]) for d, _ in rows if d not in copied) < 5
+
+
+def test_followers_exponent():
+    rng = np.random.default_rng(3)
+    counts = rng.zipf(1.5, 20_000)
+    for b in (0.3, 0.6, 0.9):
+        got = followers_exponent(*histogram(counts.astype(np.uint64)), int((counts ** float(b)).sum()))
+        assert abs(got - b) < 0.01
+    assert followers_exponent(*histogram(np.zeros(0, np.uint64)), 0) < 1.0
+
+
 def test_odd_rows_small_chunks_and_filter(spark, odd_documents, no_documents, monkeypatch):
     monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", 50)
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
@@ -67,9 +98,11 @@ def test_a_filter_of_many_blocks_is_the_same_model(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.3, 100), 150))) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).persist()
-    one, many = (sorted((r.doc_id, r.score) for r in score(docs, max_filter_bytes=n).collect()) for n in (2 ** 27, 600))
-    assert [d for d, _ in one] == [d for d, _ in many]
+    one, many, cut = (sorted((r.doc_id, r.score) for r in score(docs, max_filter_bytes=n).collect()) for n in (2 ** 27, 4096, 600))
+    assert [d for d, _ in one] == [d for d, _ in many] == [d for d, _ in cut]
     assert np.allclose([x for _, x in one], [x for _, x in many], rtol=1e-9)
+    # cut segments lie in other words of the filter, so other pairs are false hits
+    assert np.allclose([x for _, x in one], [x for _, x in cut], rtol=0.02)
 
 
 def test_no_training_documents(spark):
@@ -85,9 +118,9 @@ def test_filter_holds_quantised_counts():
     seg, key = bigram_keys(h[:-1], h[1:], 4)
     counts = np.minimum(rng.zipf(1.6, len(key)), 10_000).astype(np.uint32)
     words = 4000
-    table = np.concatenate([fill_segment(s, key[seg == s], counts[seg == s], 2, words) for s in range(4)])
-    got = CountFilter(table, 4, 2, int(level(counts).max())).counts(h[:-1], h[1:])
-    want = np.where(counts >= 2, level_counts(40)[level(counts)], 0)
+    table = np.concatenate([fill_segment(s, key[seg == s], counts[seg == s], words) for s in range(4)])
+    got = CountFilter(table, 4, int(level(counts).max())).counts(h[:-1], h[1:])
+    want = level_counts(40)[level(counts)]
     assert (got >= want).all() and (got == want).mean() > 0.99
     assert all(BASE ** (level(np.array([c]))[0] - 1) <= c + 1e-6 < BASE ** level(np.array([c]))[0] + 1e-3 for c in range(1, 500))
 
