@@ -10,7 +10,8 @@ details, scripts, styles, the head; form controls show their label or choice.
 
 Style sheets are not evaluated, only style attributes.  Each page is rendered
 by itself, so nothing shuffles.  Columns are padded to at most ``MAX_PAD``
-characters, so one long cell doesn't blow up a whole table.
+characters and begin at most ``MAX_START`` characters to the right, so neither
+a long cell nor many columns blow up a table; no text is cut.
 
 Defined cases: null html gives null text and title; an empty page an empty
 text; repeated rows are rendered each; other columns are not looked at.
@@ -28,6 +29,7 @@ from .common import map_arrow
 from .html_tree import Node, is_hidden, keeps_space, parse, visibility
 
 MAX_PAD = 60
+MAX_START = 1000
 MAX_SPAN = 1000
 
 # How browsers lay out elements by default.
@@ -36,6 +38,7 @@ BLOCKS = SPACED | frozenset("address article aside body center dd details dialog
                             "hgroup html legend li main nav option optgroup plaintext search section summary caption "
                             "tr td th thead tbody tfoot".split())
 LISTS = frozenset("ul ol menu dir".split())
+NO_VALUE = frozenset("hidden password checkbox radio file image range color".split())  # inputs that show no text
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -147,6 +150,8 @@ def _list(node: Node, page: Page, shown: bool, pre: bool) -> None:
             page.block(1)
             page.insert(lines, mark, " " * len(mark))
             page.block(1)
+        elif isinstance(child, Node) and not is_hidden(child) and child.tag not in BLOCKS:
+            _element(child, page, visibility(child, shown), keeps_space(child, pre))
         elif isinstance(child, Node) and not is_hidden(child):
             lines = Page()
             _element(child, lines, visibility(child, shown), keeps_space(child, pre))
@@ -168,27 +173,42 @@ def _rows(table: Node) -> list[Node]:
     return groups["thead"] + groups["tbody"] + groups["tfoot"]
 
 
+def _joined(spans: list[list[int]]) -> list[list[int]]:
+    """Neighbours that end in the same row become one."""
+    out = spans[:1]
+    for span in spans[1:]:
+        if span[0] <= out[-1][1] and span[2] == out[-1][2]:
+            out[-1][1] = max(out[-1][1], span[1])
+        else:
+            out.append(span)
+    return out
+
+
 def _table(node: Node, page: Page, shown: bool, pre: bool) -> None:
     for c in node.children:
         if isinstance(c, Node) and c.tag == "caption" and not is_hidden(c):
             page.insert(_sub_page(c, visibility(c, shown), pre))
             page.block(1)
     grid: list[list[tuple[int, int, list[str]]]] = []  # per row: (column, span, lines)
-    taken: dict[int, int] = {}  # column → rows still covered from above
-    for row in _rows(node):
-        column, cells = 0, []
-        covered, taken = taken, {c: n - 1 for c, n in taken.items() if n > 1}
+    rows = _rows(node)
+    covered: list[list[int]] = []  # from above: (first column, end, row where it ends), ascending
+    for number, row in enumerate(rows):
+        column, cells, added, at = 0, [], [], 0
+        covered = [c for c in covered if c[2] > number]
         row_shown = visibility(row, visibility(row.parent, shown))
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th") and not is_hidden(cell):
-                while column in covered:
-                    column += 1
+                while at < len(covered) and covered[at][0] <= column:
+                    column = max(column, covered[at][1])
+                    at += 1
                 wide = min(max(_number(cell.attrs.get("colspan"), 1), 1), MAX_SPAN)
-                deep = max(_number(cell.attrs.get("rowspan"), 1), 1)
+                end = min(number + max(_number(cell.attrs.get("rowspan"), 1), 1), len(rows))
                 cells.append((column, wide, _sub_page(cell, visibility(cell, row_shown), keeps_space(cell, pre))))
-                if deep > 1:
-                    taken.update(dict.fromkeys(range(column, column + wide), deep - 1))
+                if end > number + 1:
+                    added.append([column, column + wide, end])
                 column += wide
+        if added:
+            covered = _joined(sorted(covered + added))
         if any(lines for _, _, lines in cells):
             grid.append(cells)
     used = sorted({c for cells in grid for c, _, _ in cells})
@@ -199,7 +219,7 @@ def _table(node: Node, page: Page, shown: bool, pre: bool) -> None:
                 width[c] = max(width[c], min(max(map(len, lines), default=0), MAX_PAD))
     start, at = {}, 0
     for c in used:
-        start[c], at = at, at + (width[c] + 2 if width[c] else 0)
+        start[c], at = min(at, MAX_START), at + (width[c] + 2 if width[c] else 0)
     for cells in grid:
         for i in range(max(len(lines) for _, _, lines in cells)):
             line = ""
@@ -220,11 +240,14 @@ def _element(node: Node, page: Page, shown: bool, pre: bool) -> None:
     elif tag == "wbr":
         pass
     elif tag == "input":
-        if node.attrs.get("type", "").lower() in ("submit", "button", "reset") and shown:
+        if node.attrs.get("type", "text").lower() not in NO_VALUE and shown:
             page.inline(" " + node.attrs.get("value", "") + " ")
     elif tag == "select":
         options = [o for o in _all(node, "option") if not is_hidden(o)]
-        chosen = [o for o in options if "selected" in o.attrs] or options[:1]
+        if "multiple" in node.attrs or _number(node.attrs.get("size"), 1) > 1:
+            chosen = options  # a list box shows them all
+        else:  # the last one selected, or the first one
+            chosen = [o for o in options if "selected" in o.attrs][-1:] or options[:1]
         for option in chosen:
             page.inline(" ")
             _children(option, page, shown, False)

@@ -3,8 +3,8 @@
 The builder follows what browsers do with incomplete markup as far as it
 matters for text: missing end tags of paragraphs, list items, definition
 terms, options, rows and cells are implied; missing html, head, body, tbody
-and tr are implied; misplaced content of a table goes before the table; end
-tags without a start are ignored; nesting is cut at ``MAX_DEPTH`` as browsers do.
+and tr are implied; misplaced content of a table goes before the table (kept in a
+list of its own until the page ends, so the time stays linear); end tags without a start are ignored; nesting is cut at ``MAX_DEPTH`` as browsers do.
 """
 
 from __future__ import annotations
@@ -37,10 +37,11 @@ _TAG_NAME = re.compile(r"<[a-zA-Z][^\s/>]*")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    __slots__ = ("attrs", "before", "children", "parent", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
         self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], None
+        self.before: list | None = None  # a table's misplaced content
 
     def add(self, child) -> None:
         self.children.append(child)
@@ -123,6 +124,15 @@ def tokens(text: str) -> Iterator[tuple[str, str, dict | None]]:
             at = lt + 1
 
 
+def _flat(children: list) -> Iterator:
+    """Lists are nested at most as deep as tables are open."""
+    for child in children:
+        if isinstance(child, list):
+            yield from _flat(child)
+        else:
+            yield child
+
+
 class Builder:
     def __init__(self):
         self.root = Node("html")
@@ -132,6 +142,7 @@ class Builder:
         self.root.add(self.body)
         self.stack = [self.root, self.body]
         self.in_head, self.seen_body = False, False
+        self.around_tables: dict[Node, None] = {}
 
     # -- places -----------------------------------------------------------
     def _index(self, tags, stop=SCOPE_ENDS) -> int:
@@ -158,12 +169,24 @@ class Builder:
                 return
             if text or (child.tag not in TABLE_PARTS and child.tag not in ("script", "style", "template")):
                 table = next(x for x in reversed(self.stack) if x.tag == "table")
-                parent = table.parent
-                parent.children.insert(parent.children.index(table), child)
-                if not text:
-                    child.parent = parent
+                self._put(table.before, table.parent, child)
                 return
-        top.add(child)
+        self._put(top.children, top, child)
+
+    def _put(self, children: list, parent: Node, child) -> None:
+        if isinstance(child, Node):
+            child.parent = parent
+            if child.tag == "table":
+                child.before = []
+                children.append(child.before)
+                self.around_tables[parent] = None
+        children.append(child)
+
+    def finish(self) -> Node:
+        """The tree, with misplaced content where it belongs."""
+        for parent in self.around_tables:
+            parent.children = list(_flat(parent.children))
+        return self.root
 
     def _open(self, node: Node) -> None:
         self._place(node)
@@ -293,10 +316,10 @@ def parse(text: str) -> Node:
             builder.start(data, attrs)
         else:
             builder.end(data)
-    return builder.root
+    return builder.finish()
 
 
-_DISPLAY_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z]+)", re.I)
 _PRE_SPACE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(?:pre|break-spaces)", re.I)
 
@@ -306,7 +329,7 @@ def is_hidden(node: Node) -> bool:
     a = node.attrs
     return (node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a)
             or (node.tag == "input" and a.get("type", "").lower() == "hidden")
-            or ("style" in a and _DISPLAY_NONE.search(a["style"]) is not None))
+            or ("style" in a and [x.lower() for x in _DISPLAY.findall(a["style"])][-1:] == ["none"]))
 
 
 def visibility(node: Node, inherited: bool) -> bool:

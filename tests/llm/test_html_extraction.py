@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -24,6 +25,12 @@ from tests.conftest import SF_SMALL
     ("<h1>x<h2>y</h1>z", "x\n\ny\n\nz"), ("  a \n b<span> c </span> d&nbsp;e ", "a b c d\xa0e"),
     ("<ol reversed><li>a<li value=7>b<li>c</ol>", "3. a\n7. b\n6. c"), ("<textarea>\n a <b></textarea>", " a <b>"),
     ("<p \"x>q</p><!-- open", "q"), ("x<p title='a", "x"), ("", ""), ("<", "<"), ("</>a<//b>", "a"), ("a<br></br>b", "a\n\nb"),
+    ("<select multiple><option>1<option selected>2</select> <input value=typed><input type=password value=no>", "1 2 typed"),
+    ("<select><option selected>1<option selected>2</select>", "2"),
+    ("<b style='display:none;display:block'>yes</b><b style='display:block;display:none'>no</b>", "yes"),
+    ("<ul>text <b>bold</b> more<li>x</ul>", "text bold more\n- x"),
+    ("<table>a<table>b<tr>c<td>d</table>e<tr>f<td>g</table>h", "abc\n\nd\n\nef\n\ng\n\nh"),
+    ("<table><tr><td rowspan=3>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "a  b     c\n         d\n   e  f  g"),
     ("<script>open", ""), ("<plaintext><b>x", "<b>x"), ("&copy; &#65;&amp;lt;", "© A&lt;"),
 ])
 def test_layout(page, text):
@@ -38,6 +45,15 @@ def test_title_deep_and_long_pages():
     assert len(render("<p>word " * 50_000)[1].split()) == 50_000
 
 
+def test_time_is_linear_in_misplaced_children_and_spanning_rows():
+    for page in ("<table>" + "x<br>" * 100_000 + "<tr><td>end</table>",
+                 "<table>" + "<tr><td rowspan=65000 colspan=1000>x" * 10_000 + "</table>",
+                 "<table>" + "<tr><td rowspan=65000>x" * 10_000 + "</table>", "<table><tr><td>x</table>" * 10_000):
+        begun = time.process_time()
+        assert render(page)[1].count("x") == page.count(">x")
+        assert time.process_time() - begun < 10  # seconds; each takes about one
+
+
 class _Plain(HTMLParser):
     """All character data outside head elements, blocks apart."""
 
