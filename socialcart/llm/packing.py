@@ -26,6 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,12 @@ MAX_QUEUES = 256
 BATCH_BYTES = 4_000_000
 
 
+def _slice_of(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
+    """Rows from ``at`` on whose texts hold about BATCH_BYTES, at least one."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1).slice(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    return batch.slice(at, int(np.searchsorted(held, BATCH_BYTES)) + 1)
+
+
 def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id",
              text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(pid, source, start, n, doc_id, ids): ``start`` counts the tokens of
@@ -53,27 +60,27 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID
         from pyspark import TaskContext
 
         enc = encoder(tokenizer or public_path(TOKENIZER))
-        end = np.array([end_id], enc.dtype).tobytes()
         pid, so_far = TaskContext.get().partitionId(), {}
         for batch in batches:
-            ids, texts, sources = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
             at = 0
-            while at < len(ids):
-                some, held = [], 0
-                while at + len(some) < len(ids) and held < BATCH_BYTES:
-                    some.append(texts[at + len(some)].as_py() or b"")
-                    held += len(some[-1])
-                cols = [[], [], [], [], [], []]
-                for i, coded in enumerate(enc.encode(some), at):
-                    coded += end
-                    n, source = len(coded) // enc.dtype.itemsize, sources[i] or ""
-                    for col, v in zip(cols, (pid, source, so_far.get(source, 0), n, ids[i], coded), strict=True):
-                        col.append(v)
-                    so_far[source] = so_far.get(source, 0) + n
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-                at += len(some)
-
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+            while at < batch.num_rows:
+                some = _slice_of(batch, at)
+                ids, ends = enc.encode_array(some.column(1))
+                ids = np.insert(ids, ends, enc.dtype.type(end_id))
+                ends = ends + np.arange(1, len(ends) + 1)
+                sources = [s or "" for s in some.column(2).to_pylist()]
+                lengths, starts = np.diff(ends, prepend=0).tolist(), []
+                for source, n in zip(sources, lengths, strict=True):
+                    starts.append(so_far.get(source, 0))
+                    so_far[source] = starts[-1] + n
+                offsets = np.concatenate([[0], ends * enc.dtype.itemsize]).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([pid] * len(ends), pa.int32()), pa.array(sources, pa.string()), pa.array(starts, pa.int64()),
+                    pa.array(lengths, pa.int64()), some.column(0), raw], schema=schema)
+                at += some.num_rows
+
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       F.col(source_col).cast("string").alias("source"))
     return map_arrow(own, run, "pid int, source string, start long, n long, doc_id long, ids binary")
 

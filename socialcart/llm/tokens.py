@@ -1,9 +1,11 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache.
 
 The tokenizer drops white space and never joins pieces across it, so a text's
-ids are the ids of its blank-separated chunks in order.  Chunks repeat a lot;
-each Python worker keeps the ids of the chunks seen so far (at most
-``CACHE_CHUNKS``, then it starts afresh) and encodes new ones in batches.
+ids are the ids of its blank-separated chunks in order.  Texts are split and
+their distinct chunks found by Arrow, a batch at a time, so Python sees each
+distinct chunk of a batch once.  Each worker keeps the ids of the chunks seen
+so far (at most ``CACHE_CHUNKS``, then it starts afresh) and encodes new ones
+together; the ids of all texts are then put side by side by numpy.
 """
 
 from __future__ import annotations
@@ -14,15 +16,17 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_CHUNKS = 400_000
 
-# begins with the characters that are looked for, so the scan is fast
-_TAIL = re.compile(rb"[,.](?<=[a-z0-9].)(?=[\x20\x09-\x0D]|\Z)")
+# a comma or full stop after an ASCII letter or digit
+_TAIL = re.compile(rb"[a-z0-9][,.]\Z")
 
 
 class ChunkEncoder:
-    """Texts as UTF-8 bytes → their ids as little-endian bytes (``dtype``)."""
+    """Texts → their ids as little-endian numbers (``dtype``)."""
 
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,28 +46,51 @@ class ChunkEncoder:
         return out if out.any() else None
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        chunks = [self._chunks(t) for t in texts]
+        """The ids of each text as bytes."""
+        ids, ends = self.encode_array(pa.array([t.decode() for t in texts], pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=False)]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts side by side, where each text's end); a null text
+        has none.  Chunks are lower-cased, which changes no id; texts that may
+        hold a special token stay as they are."""
+        texts = pc.fill_null(texts, "")
+        own = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(own)
+        chunks = lists.flatten().dictionary_encode()
+        coded = self._ids(chunks.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(coded), self.dtype)
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
+        which = chunks.indices.to_numpy()
+        length = size[which]
+        done = np.concatenate([[0], np.cumsum(length)])
+        shift = (np.cumsum(size) - size)[which] - done[:-1]
+        ids = flat[np.repeat(shift, length) + np.arange(done[-1])]
+        return ids, done[np.cumsum(pc.list_value_length(lists).to_numpy())]
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks.  A comma or full stop after a letter or
+        digit is encoded apart from the word, which changes no id, so words
+        are learnt once."""
         if len(self.cache) > self.cache_chunks:
             self.cache.clear()
-        cache = self.cache
-        self._learn(list(set().union(*chunks).difference(cache)))
-        get = cache.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
-
-    @staticmethod
-    def _chunks(text: bytes) -> list[bytes]:
-        """Chunks between ASCII white space, lower-cased, with a comma or full
-        stop after an ASCII letter or digit as a chunk of its own: none of
-        that changes the ids.  Texts that may hold a special token stay."""
-        return text.split() if b"<|" in text else _TAIL.sub(rb" \g<0>", text.lower()).split()
+        get = self.cache.get
+        found = list(map(get, chunks))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            cut = [len(c) - 1 if _TAIL.search(c) and b"<|" not in c else len(c) for c in (chunks[i] for i in new)]
+            bodies = [chunks[i][:n] for i, n in zip(new, cut, strict=True)]
+            tails = [chunks[i][n:] for i, n in zip(new, cut, strict=True)]
+            self._learn([c for c in {*bodies, *tails} if c not in self.cache])
+            for i, body, tail in zip(new, bodies, tails, strict=True):
+                found[i] = get(body) + get(tail)
+        return found
 
     def _learn(self, new: list[bytes]) -> None:
         text = [c.decode() for c in new]
-        alone = [t.isalpha() for t in text]
-        words = [t for t, a in zip(text, alone, strict=True) if a]
-        others = [t for t, a in zip(text, alone, strict=True) if not a]
-        self.cache.update(zip((c for c, a in zip(new, alone, strict=True) if a), self._words(words), strict=True))
-        self.cache.update(zip((c for c, a in zip(new, alone, strict=True) if not a), self._each(others), strict=True))
+        for alone, encode in ((True, self._words), (False, self._each)):
+            at = [i for i, t in enumerate(text) if t.isalpha() == alone]
+            self.cache.update(zip([new[i] for i in at], encode([text[i] for i in at]), strict=True))
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
