@@ -10,11 +10,14 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; all but the last return the columns they got.  ``run`` writes each result
 as Parquet in the shared folder and reads it as the next input, so a lost
-executor costs no more than its tasks.  Null texts go in stage 1 (no letter);
+executor costs no more than its tasks.  After each stage its handles are
+collected, so that Spark drops the stage's broadcasts and shuffle files before
+the next one begins.  Null texts go in stage 1 (no letter);
 empty tables pass through all stages."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +58,13 @@ STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_ded
 ORACLE_SQL = None
 
 
+def _release(spark: SparkSession) -> None:
+    """Spark cleans up after handles that the driver's collectors found dead;
+    a driver with room left may not collect for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     root = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
@@ -62,4 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{root}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        _release(spark)
     return docs
