@@ -12,6 +12,8 @@ Style sheets are not evaluated, only style attributes.  Each page is rendered
 by itself, so nothing shuffles.  Columns are padded to at most ``MAX_PAD``
 characters and begin at most ``MAX_START`` characters to the right, so neither
 a long cell nor many columns blow up a table; no text is cut.
+Time is linear in the page, but for cells that span rows and end in different
+rows: each row walks over those above it that are still open.
 
 Defined cases: null html gives null text and title; an empty page an empty
 text; repeated rows are rendered each; other columns are not looked at.
