@@ -50,3 +50,10 @@ def test_event_documents_are_bounded_and_pruned(spark):
     recs = D.recommendations(docs, tv.friends(spark, SF_SMALL), tv.products(spark, SF_SMALL))
     nested = [s for s in read_schema(recs) if "array<struct" in s]
     assert all("price" not in s and "event_time" not in s and "brand" not in s for s in nested)
+
+
+def test_cleaning_is_dealt_over_all_cores(spark):
+    from socialcart.sources import extracts as X
+
+    for extract in (X.message_extract, X.campaign_extract):
+        assert extract(spark, SF_SMALL).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
