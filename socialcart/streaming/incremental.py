@@ -32,6 +32,10 @@ from socialcart.session import checkpoint_root
 from socialcart.sources.versions import Versions
 
 
+# Most micro-batches of one load.
+MAX_BATCHES = 64
+
+
 def write_chunks(df: DataFrame, path: str, rows_per_chunk: int = 10_000) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_chunk).parquet(path)
 
@@ -95,9 +99,14 @@ def compact(spark: SparkSession, log_dir: str, key: list[str], order: str, base_
 def incremental_upsert(spark: SparkSession, rows: DataFrame, key: list[str], order: str,
                        rows_per_chunk: int = 2_000, files_per_batch: int = 2) -> DataFrame:
     """S12 end to end: chunk ``rows`` into the shared checkpoint folder, apply
-    the chunks through the stream, return the final state."""
+    the chunks through the stream, return the final state.
+
+    A micro-batch applies ``files_per_batch`` chunks, or more when there are
+    more than ``MAX_BATCHES`` times as many: each costs a fixed time on the
+    driver, so their number must not grow with the table."""
     base = f"{checkpoint_root(spark)}/incremental-{uuid.uuid4().hex}"
     write_chunks(rows, f"{base}/source", rows_per_chunk)
+    chunks = len(spark.read.schema(rows.schema).parquet(f"{base}/source").inputFiles())
     load_increments(spark, f"{base}/source", rows.schema, f"{base}/log",
-                    f"{base}/checkpoint", files_per_batch)
+                    f"{base}/checkpoint", max(files_per_batch, -(-chunks // MAX_BATCHES)))
     return current_state(spark, f"{base}/log", key, order)

@@ -39,3 +39,12 @@ def test_compaction_then_more_chunks(spark, tmp_dir):
     state = {r["key"]: r["val"] for r in inc.current_state(spark, log, ["key"], "ord", base).collect()}
     full = {r["key"]: r["val"] for r in inc.current_state(spark, log, ["key"], "ord").collect()}
     assert state == full and state[0] == "b0" and state[29] == "a299"
+
+
+def test_number_of_batches_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(inc, "MAX_BATCHES", 3)
+    applied, load = [], inc.load_increments
+    monkeypatch.setattr(inc, "load_increments", lambda *a: applied.append(load(*a)))
+    rows = spark.createDataFrame([(k % 50, k) for k in range(500)], "key long, ord long")
+    state = {tuple(r) for r in inc.incremental_upsert(spark, rows, ["key"], "ord", rows_per_chunk=20).collect()}
+    assert state == {(k, 450 + k) for k in range(50)} and 1 < applied[0] <= 3
