@@ -31,6 +31,8 @@ from socialcart.operators.graph import campaign_key
 from socialcart.session import checkpoint_root
 from socialcart.streaming.bucket_table import BucketTable
 
+# Message versions in one file of a stream, which one task writes.
+ROWS_A_FILE = 1_000_000
 MESSAGE = ("message_id", "user_id", "client_id", "campaign_key", "is_purchased", "ord")
 
 
@@ -114,15 +116,18 @@ class HelperEdges:
 
 def helper_edges_by_deltas(messages: DataFrame, clients: DataFrame, batches: int = 3) -> DataFrame:
     """Message versions (columns of D15 plus ``ord``) applied as a stream of
-    ``batches`` chunks; the helper edges after the last."""
+    ``batches`` chunks of as many files as they need; the helper edges after
+    the last.  A file holds about ``ROWS_A_FILE`` versions, picked by a hash."""
     spark = messages.sparkSession
     path = f"{checkpoint_root(spark)}/helper-deltas-{uuid.uuid4().hex}"
     rows = messages.select("message_id", "user_id", "client_id", campaign_key(messages).alias("campaign_key"), "is_purchased",
                            F.col("ord").cast("long").alias("ord"))
-    rows.repartition(batches, F.pmod(F.xxhash64("ord"), F.lit(batches))).write.parquet(f"{path}/source")
+    source = f"{path}/source"
+    rows.repartition(batches * (1 + rows.count() // (batches * ROWS_A_FILE)), "ord").write.parquet(source)
+    per_batch = max(1, -(-len(spark.read.schema(rows.schema).parquet(source).inputFiles()) // batches))
     edges = HelperEdges(spark, f"{path}/state", buckets=8)
     edges.seed(clients)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(source)
     (stream.writeStream.foreachBatch(lambda batch, i: edges.apply(batch, i + 1)).trigger(availableNow=True)
      .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
     return edges.edges()

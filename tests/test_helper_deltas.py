@@ -1,5 +1,7 @@
 """Helper edges after each batch against a full rebuild."""
 
+import glob
+import os
 import random
 
 import pytest
@@ -69,3 +71,24 @@ def test_flips_both_ways_and_a_batch_that_dies(spark, tmp_dir, monkeypatch):
     assert state() == {(5, "a"): False, (7, "a"): False, (5, "b"): True, (7, "b"): True}
     put(4, (2, 5, 1, "c", True, 9))
     assert (5, "c") not in state()
+
+
+def test_a_batch_is_several_files(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from socialcart.streaming import helper_deltas as H
+
+    monkeypatch.setattr(H, "checkpoint_root", lambda _: tmp_dir)
+    monkeypatch.setattr(H, "ROWS_A_FILE", 40, raising=False)
+    rows = [(i // 2, i % 7, i % 4, str(2000 + i % 2), "1-URGENT", i % 3 == 0, i) for i in range(200)]
+    messages = spark.createDataFrame(rows, "message_id long, user_id long, client_id long, campaign_id string, message_type string, "
+                                           "is_purchased boolean, ord long")
+    clients = spark.createDataFrame([(9, 0)], "user_id long, client_id long")
+    out = H.helper_edges_by_deltas(messages, clients, batches=2)
+    keys = messages.select(*messages.columns, H.campaign_key(messages).alias("k")).collect()
+    want = rebuild([(9, 0)], [(r.message_id, r.user_id, r.client_id, r.k, r.is_purchased, r.ord) for r in keys])
+    assert {(r.user_id, r.campaign_key): r.purchased for r in out.collect()} == want
+    (run,) = glob.glob(f"{tmp_dir}/helper-deltas-*")
+    sizes = spark.read.parquet(f"{run}/source").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 100
+    assert len([f for f in os.listdir(f"{run}/checkpoint/commits") if f.isdigit()]) == 2
