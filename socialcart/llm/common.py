@@ -3,7 +3,9 @@ the ASCII text rules that the operators agree on."""
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -40,15 +42,37 @@ def find_package(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     env = spark.sparkContext.environment
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "2")
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in known:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` on workers that find this package."""
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str, encodes: bool = False) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` on workers that find this package.
+
+    Workers outlive their tasks: one that goes on to a step that does not
+    encode (``encodes``) drops the tokenizer and its cache."""
     find_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        tokens = sys.modules.get("socialcart.llm.tokens")
+        if tokens is not None and not encodes:
+            tokens.encoder.cache_clear()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def text_slices(texts: Iterable, size: int) -> Iterator[tuple[int, list]]:

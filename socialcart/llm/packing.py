@@ -82,7 +82,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       F.col(source_col).cast("string").alias("source"))
-    return map_arrow(own, run, "pid int, source string, start long, n long, doc_id long, ids binary")
+    return map_arrow(own, run, "pid int, source string, start long, n long, doc_id long, ids binary", encodes=True)
 
 
 def _queues(parts: DataFrame, max_queues: int) -> tuple[list[str], list[int], int]:
@@ -112,7 +112,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     plan = phases([*totals, others], weights, capacity)
 
     # a part's queue and its place there: parts in order of partition, then source
-    known = parts.sparkSession.createDataFrame(list(rank.items()) or [("", 0)], "name string, queue int")
+    # an Arrow table: rows of a list would start further Python workers, which stay for a minute
+    known = parts.sparkSession.createDataFrame(pa.table({"name": pa.array(list(rank) or [""], pa.string()),
+                                                         "queue": pa.array(list(rank.values()) or [0], pa.int32())}))
     place = Window.partitionBy("queue").orderBy("pid", "source").rowsBetween(Window.unboundedPreceding, -1)
     parts = (parts.join(F.broadcast(known), F.col("source") == F.col("name"), "left")
              .withColumn("queue", F.coalesce("queue", F.lit(len(names))))

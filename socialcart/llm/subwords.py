@@ -12,7 +12,7 @@ from .shingles import mix
 
 BUCKETS = 2 ** 16
 SIZES = (2, 3, 4)
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 # ASCII characters that are not letters part words; letters are lower-cased
 _PART = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))

@@ -105,3 +105,22 @@ def test_rounds_and_schedule_are_exact():
                 assert offset == at
                 at += length
             assert at == capacity or window == max(filled)
+
+
+def test_a_step_that_does_not_encode_drops_the_tokenizer(spark):
+    from socialcart.llm.common import map_arrow
+    from socialcart.llm.packing import tokenise
+
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+
+        tokens = sys.modules.get("socialcart.llm.tokens")
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([tokens.encoder.cache_info().currsize if tokens else 0] * batch.num_rows, pa.int64())], names=["n"])
+
+    docs = spark.createDataFrame([(i, "some words", "a") for i in range(40)], "doc_id long, text string, source string").repartition(4)
+    for _ in range(2):
+        assert tokenise(docs).count() == 40
+    assert {r.n for r in map_arrow(docs.select("doc_id"), held, "n long").collect()} == {0}
