@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import fill, filter_words, probe
-from .common import find_package, join_by_key, map_arrow, scratch_table, text_slices
+from .common import find_package, map_arrow, scratch_table, text_slices
 from .components import components
 from .shingles import WIDTH, WordHasher, band_keys, overlap, shingle_hashes, sketches
 
@@ -97,13 +97,10 @@ def _shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _attach(pairs: DataFrame, table: DataFrame, side: str, value: str) -> DataFrame:
-    """``pairs`` with ``value`` of the node in column ``side``; a node that
-    is in many pairs does not gather them in one task."""
-    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_c"))
-    wanted = counts.join(table.select(F.col("node").alias(side), value), side)
-    total = pairs.count()
-    out = join_by_key(pairs, wanted, side, "_c", total)
-    return out.select(*pairs.columns, F.col(f"found.{value}").alias(f"{value}_{side}"))
+    """``pairs`` with ``value`` of the node in column ``side``: one join of two
+    shuffled tables, so Spark splits the rows of a node that is in many pairs."""
+    own = table.select(F.col("node").alias("_n"), F.col(value).alias(f"{value}_{side}"))
+    return pairs.join(own, F.col(side) == F.col("_n")).drop("_n")
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, min_agree: int) -> DataFrame:
@@ -250,12 +247,10 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH, percen
     """(node, component) of the classes that are linked with another one."""
     min_agree = MIN_AGREE if percent == PERCENT else max(1, int(SIZE * percent / 100 - 24))
     bands = scratch_table(classes.select("node", F.posexplode("bands").alias("no", "band")), "bands")
-    total = bands.count()
     buckets = scratch_table(bands.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
                             .where("n > 1"), "buckets")
-    met = join_by_key(bands, buckets, "band", "n", total).where("found is not null")
-    members = scratch_table(met.select("band", "no", "node", F.col("found.centre").alias("centre"),
-                                       F.col("found.n").alias("n")), "members")
+    met = bands.join(buckets.select(F.col("band").alias("_band"), "centre", "n"), F.col("band") == F.col("_band"))
+    members = scratch_table(met.select("band", "no", "node", "centre", "n"), "members")
     stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     likely = scratch_table(_agreeing(scratch_table(stars, "stars"), classes, min_agree), "likely")
     nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -295,7 +290,6 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_
     and ``rank`` of the row that stands for its component."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = scratch_table(document_sketches(own, width), "documents")
-    total = rows.count()
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("tkey").alias("tkey"))
     grouped = rows.where("cls is not null").groupBy("cls").agg(
         F.min(rank).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"),
@@ -309,11 +303,10 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_
         linked.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").select(
         "cls", "first", "copies", F.coalesce("component", "node").alias("component"))
     small = scratch_table(small, "classes-in")
-    heads = small.groupBy("component").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("n"),
-                                           F.sum("copies").alias("rows"))
-    named = join_by_key(small, heads, "component", "n", small.count()).select(
-        "cls", "copies", F.col("found.head").alias("head"), F.col("found.rows").alias("rows"))
-    out = join_by_key(rows.select("doc_id", "tkey", "n", "cls"), scratch_table(named, "named"), "cls", "copies", total)
+    heads = scratch_table(small.groupBy(F.col("component").alias("_c")).agg(F.min("first").alias("head"), F.sum("copies").alias("rows")), "heads")
+    named = small.join(heads, F.col("component") == F.col("_c")).select(
+        F.col("cls").alias("_cls"), F.struct("head", "rows").alias("found"))
+    out = rows.join(scratch_table(named, "named"), F.col("cls") == F.col("_cls"), "left")
     alone = F.col("found").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("found.head.id"))
     return out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -334,7 +327,8 @@ def drop_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.struct(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tkey")).alias("key"))
     packed = probe(packed, scratch_table(fill(decided, "_key", words), "decided-ids"), "key", words)
-    asked = packed.where("_possible").join(decided, F.col("key").eqNullSafe(F.col("_key")), "left")
+    asked = scratch_table(packed.where("_possible").join(decided, F.col("key").eqNullSafe(F.col("_key")), "left").select(
+        "row", "key", "_key", "_stays"), "asked")
     once = asked.where("_stays").groupBy("key").agg(F.any_value("row").alias("row"))
     free = packed.where(~F.col("_possible")).select("row.*")
     return free.unionByName(asked.where("_key is null").select("row.*")).unionByName(once.select("row.*"))

@@ -138,3 +138,18 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: want[x] for x in nodes}
+
+
+def test_plans_stay_small(spark):
+    """What the driver holds grows with the joins and broadcasts it plans: each
+    value attached to the pairs is one join and no aggregate."""
+    pairs = spark.createDataFrame([(1, i) for i in range(2, 9)], "a long, b long")
+    table = spark.createDataFrame([(i, bytes(128)) for i in range(1, 9)], "node long, sketch binary")
+    both = near_dedup._agreeing(pairs, table, 128)
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("Join "), plan.count("Aggregate ")) == (2, 0)
+    assert sorted(map(tuple, both.collect())) == [(1, i) for i in range(2, 9)]
+    # a star step plans one join, over stored tables
+    star = components(pairs.withColumnsRenamed({"a": "u", "b": "v"}))
+    assert star._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 0
+    assert {tuple(r) for r in star.collect()} == {(i, 1) for i in range(1, 9)}
